@@ -21,7 +21,7 @@ from tessera.llm import textscan
 
 LETTER, NUMBER, OTHER, SPACE, WHITE, UNSEEN = 1, 2, 3, 4, 5, 0
 #: Distinct pre-tokens kept by a worker between batches; beyond it the store starts anew.
-KEPT = 2_000_000
+KEPT = 600_000
 
 
 @lru_cache(maxsize=2)
@@ -257,7 +257,7 @@ class Encoder:
         self._forget()
 
     def _forget(self) -> None:
-        self.known = Table(22)
+        self.known = Table(21)
         self.offset, self.count = np.zeros(1 << 16, np.int64), np.zeros(1 << 16, np.int32)
         self.ids, self.used = np.zeros(1 << 18, np.uint16), 0
 
@@ -271,7 +271,7 @@ class Encoder:
         if self.known.size + len(new) > KEPT and self.known.size:
             self._forget()
             return self._number(hashes, data, at, ends)
-        if self.known.size + len(new) > 3 << 20:
+        if self.known.size + len(new) > 1_500_000:
             raise ValueError("a batch has too many distinct pre-tokens; use smaller batches")
         where = lost[first]
         lengths = ends[where] - at[where]

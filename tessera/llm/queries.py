@@ -28,12 +28,25 @@ def op2_count_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(table(spark, sf_dir, "documents"), vocabulary(), 1024)
 
 
+def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tessera.llm.decontamination import contamination
+
+    found = contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), 10)
+    return found.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated", "longest")
+
+
 def op5_pack_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tessera.llm.packing import pack_documents
 
     return pack_documents(table(spark, sf_dir, "documents"), vocabulary(), 1024, 2)
 
 
+def op6_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tessera.llm.near_duplicates import near_duplicates
+
+    return near_duplicates(table(spark, sf_dir, "documents"), 75)
+
+
 def op9_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tessera.llm.token_store import stored_tokens
 
@@ -41,7 +54,7 @@ def op9_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_shard_by_bytes, op2_count_tokens, op5_pack_documents, op9_token_store)}
+    return {f.__name__: f for f in (op1_shard_by_bytes, op2_count_tokens, op3_decontaminate, op5_pack_documents, op6_near_duplicates, op9_token_store)}
 
 
 def oracle_sql() -> dict[str, str]:

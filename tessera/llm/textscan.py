@@ -11,7 +11,7 @@ from __future__ import annotations
 import numpy as np
 
 #: Bytes of text handled at once in a Python worker.
-BLOCK_BYTES = 4 << 20
+BLOCK_BYTES = 1 << 20
 
 _rng = np.random.Generator(np.random.PCG64(20240229))
 #: Random odd multipliers by place in a word; places beyond the table reuse it with a power of `_FAR`.

@@ -31,4 +31,4 @@ def count_tokens(docs: DataFrame, path: str, limit: int = 1024) -> DataFrame:
 
     narrow = docs.select(F.col("doc_id"), F.col("text"))
     kind = narrow.schema["doc_id"].dataType.simpleString()
-    return over_texts(narrow, f"doc_id {kind}, n_bytes long, n_tokens long, over_limit boolean", work)
+    return over_texts(narrow, f"doc_id {kind}, n_bytes long, n_tokens long, over_limit boolean", work, 2 << 20)

@@ -24,15 +24,15 @@ import numpy as np
 from tessera.llm.bytelevel import Splitter, byte_symbols
 
 START, WAITING = 0, 1
-MOST_STATES = 300_000
-SLOTS = 1 << 22
+MOST_STATES = 200_000
+SLOTS = 1 << 21
 CHUNK = 512
 
-_SPREAD, _SHIFT = np.uint64(0x9E3779B97F4A7C15), np.uint64(64 - 22)
+_SPREAD, _SHIFT = np.uint64(0x9E3779B97F4A7C15), np.uint64(64 - 21)
 
 
 def _slot(at: int) -> int:
-    return ((at * 0x9E3779B97F4A7C15) & 0xFFFFFFFFFFFFFFFF) >> 42
+    return ((at * 0x9E3779B97F4A7C15) & 0xFFFFFFFFFFFFFFFF) >> 43
 
 
 def _pack(node: int, last: int, back: int) -> int:
@@ -104,6 +104,8 @@ class Transducer:
         """
         got = self._pairs.get((a, b))
         if got is None:
+            if len(self._pairs) > MOST_STATES:
+                self._pairs.clear()
             x, y, limit, got = a, b, 1 << 30, True
             while True:
                 across = self.merges.get((x, y))
@@ -192,7 +194,7 @@ class Transducer:
 
     def scan(self, data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """State after each byte, and tokens emitted by each byte; pre-tokens begin at `at`."""
-        if len(self.states) > MOST_STATES or self.filled > SLOTS // 3:
+        if len(self.states) > MOST_STATES or self.filled > SLOTS // 2:
             self._forget()
         n = data.size
         lanes = -(-n // CHUNK)
