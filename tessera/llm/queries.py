@@ -35,6 +35,12 @@ def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated", "longest")
 
 
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tessera.llm.toxicity import toxicity
+
+    return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op5_pack_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tessera.llm.packing import pack_documents
 
@@ -47,6 +53,12 @@ def op6_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), 75)
 
 
+def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tessera.llm.language import identify
+
+    return identify(table(spark, sf_dir, "documents"))
+
+
 def op9_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tessera.llm.token_store import stored_tokens
 
@@ -54,7 +66,7 @@ def op9_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_shard_by_bytes, op2_count_tokens, op3_decontaminate, op5_pack_documents, op6_near_duplicates, op9_token_store)}
+    return {f.__name__: f for f in (op1_shard_by_bytes, op2_count_tokens, op3_decontaminate, op4_toxicity, op5_pack_documents, op6_near_duplicates, op7_language, op9_token_store)}
 
 
 def oracle_sql() -> dict[str, str]:
