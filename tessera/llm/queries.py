@@ -59,14 +59,26 @@ def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify(table(spark, sf_dir, "documents"))
 
 
+def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tessera.llm.secrets import secret_report
+
+    return secret_report(table(spark, sf_dir, "documents"))
+
+
 def op9_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tessera.llm.token_store import stored_tokens
 
     return stored_tokens(table(spark, sf_dir, "documents"), vocabulary(), end_id=2)
 
 
+def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tessera.llm.fingerprints import edited_fingerprints
+
+    return edited_fingerprints(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_shard_by_bytes, op2_count_tokens, op3_decontaminate, op4_toxicity, op5_pack_documents, op6_near_duplicates, op7_language, op9_token_store)}
+    return {f.__name__: f for f in (op1_shard_by_bytes, op2_count_tokens, op3_decontaminate, op4_toxicity, op5_pack_documents, op6_near_duplicates, op7_language, op8_secrets, op9_token_store, op10_fingerprints)}
 
 
 def oracle_sql() -> dict[str, str]:
