@@ -55,6 +55,18 @@ def over_texts(df: DataFrame, schema: str, work, limit: int = textscan.BLOCK_BYT
     return df.mapInArrow(stage, schema)
 
 
+def kept_texts(df: DataFrame, keep, limit: int = textscan.BLOCK_BYTES) -> DataFrame:
+    """The rows of df, all columns as they are, for whose text keep(parts) is true; parts are the UTF-8 texts of a block."""
+
+    def stage(batches):
+        for batch in batches:
+            texts = batch.column("text").cast(pa.large_binary()).to_pylist()
+            for first, parts in textscan.blocks(texts, limit):
+                yield batch.slice(first, len(parts)).filter(pa.array(keep(parts), pa.bool_()))
+
+    return df.mapInArrow(stage, df.schema)
+
+
 def unsigned_crc32(column) -> F.Column:
     """crc32 of a text's UTF-8 bytes as an unsigned long (null: that of no bytes, 0)."""
     return F.crc32(F.coalesce(column.cast("binary"), F.lit(b"").cast("binary")))

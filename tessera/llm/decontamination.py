@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.llm import textscan
-from tessera.llm.common import over_texts
+from tessera.llm.common import kept_texts, over_texts
 
 #: Bytes of training text under one suffix array, and of benchmark text searched in one pass.
 SHARD_BYTES, BENCHMARK_BYTES = 8 << 20, 16 << 20
@@ -229,6 +229,19 @@ def _longest(shard: Shard, test: Suffixes, place: np.ndarray, doc: np.ndarray, w
 
 
 def decontaminated(docs: DataFrame, benchmark: DataFrame, window: int = 10) -> DataFrame:
-    """The documents, all their columns, without those that repeat a window of the benchmark. Rows with a null id stay unless such a row is contaminated."""
-    bad = contamination(docs, benchmark, window).where("contaminated").select(F.col("doc_id").alias("_bad_id")).distinct()
-    return docs.join(bad, docs["doc_id"].eqNullSafe(bad["_bad_id"]), "left_anti")
+    """The documents, all their columns, without those that repeat a window of the benchmark; see `contamination`. Block after block of the benchmark takes its documents out."""
+    for block in benchmark_blocks(benchmark, window):
+        docs = kept_texts(docs, _clean(docs.sparkSession.sparkContext.broadcast(block), window), SHARD_BYTES)
+    return docs
+
+
+def _clean(shared, depth: int):
+    def keep(parts):
+        shard = Shard(parts, shared.value, depth)
+        _, low, high = search(shard.words, shard.array, shared.value, depth)
+        _, doc, _ = shard.occurrences(shared.value, low, high)
+        out = np.ones(len(parts), bool)
+        out[doc] = False
+        return out
+
+    return keep

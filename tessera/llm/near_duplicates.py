@@ -159,4 +159,10 @@ def near_duplicates(docs: DataFrame, percent: int = 75) -> DataFrame:
     named = grouped.join(ids, "root").select("key", "component_id")
     linked = rows.where("n_shingles > 0").select("doc_id", "key", "n_shingles").join(named, "key").select("doc_id", "n_shingles", "component_id")
     alone = rows.where("n_shingles = 0").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
-    return linked.unionByName(alone).withColumn("kept", F.col("doc_id") == F.col("component_id"))
+    return linked.unionByName(alone).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+
+
+def deduplicated(docs: DataFrame, percent: int = 75) -> DataFrame:
+    """The documents, all their columns, that are the least id of their group; see `near_duplicates`. Rows that share both the id and the group stay together."""
+    kept = near_duplicates(docs, percent).where("kept").select(F.col("doc_id").alias("_kept_id")).distinct()
+    return docs.join(kept, F.col("doc_id").eqNullSafe(F.col("_kept_id")), "left_semi")

@@ -176,23 +176,23 @@ def _named(k: int, kind: str):
 
 
 def scan(docs: DataFrame, rules: tuple[Rule, ...] = BASE + ADDED) -> DataFrame:
-    """Every row of (doc_id, text) with `spans`, an array of (start, kind, end) by start and then rule order.
+    """Every row, all columns, with `_spans`: an array of (start, rule, kind, end) by start and then rule order.
 
     A null text counts as empty. Null and repeated ids are told apart by their text's hash, so equal rows
     get equal spans; an empty table gives no rows.
     """
     text = F.coalesce(F.col("text"), F.lit(""))
     base = docs.select(F.col("doc_id").alias("id"), F.xxhash64(text).alias("mark"), text.alias("text"))
-    found = _posting_keys(base, rules)
-    first = base.join(found.withColumnsRenamed({"id": "i", "mark": "m"}), F.col("id").eqNullSafe(F.col("i")) & (F.col("mark") == F.col("m")), "left")
+    found = _posting_keys(base, rules).toDF("_id", "_mark", "_kinds")
+    first = docs.withColumn("_own", F.xxhash64(text)).join(found, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_own") == F.col("_mark")), "left")
     none = F.expr("cast(array() as array<struct<start:int,end:int,size:int>>)")
     parts = []
     for k, rule in enumerate(rules):
-        own = spans_of(F.col("text"), rule)
+        own = spans_of(text, rule)
         if trigram_query(rule.pattern) is not None:
-            own = F.when(F.array_contains("kinds", rule.kind), own).otherwise(none)
+            own = F.when(F.array_contains("_kinds", rule.kind), own).otherwise(none)
         parts.append(F.transform(own, _named(k, rule.kind)))
-    return first.select(F.col("id").alias("doc_id"), "text", F.array_sort(F.flatten(F.array(*parts))).alias("spans"))
+    return first.withColumn("_spans", F.array_sort(F.flatten(F.array(*parts)))).drop("_own", "_id", "_mark", "_kinds")
 
 
 def _joined(spans: Column) -> Column:
@@ -201,10 +201,10 @@ def _joined(spans: Column) -> Column:
 
 def secret_report(docs: DataFrame) -> DataFrame:
     """(doc_id, n_assign, n_access, n_hex, base_sha256, spans) of each row; see `scan`."""
-    found = scan(docs.select("doc_id", "text")).select("doc_id", "spans")
-    count = lambda kind: F.size(F.filter("spans", lambda x: x["kind"] == kind)).cast("long")
-    base = F.filter("spans", lambda x: x["rule"] < len(BASE))
-    return found.select("doc_id", *[count(r.kind).alias(f"n_{r.kind}") for r in BASE], F.sha2(_joined(base), 256).alias("base_sha256"), _joined(F.col("spans")).alias("spans"))
+    found = scan(docs.select("doc_id", "text")).select("doc_id", "_spans")
+    count = lambda kind: F.size(F.filter("_spans", lambda x: x["kind"] == kind)).cast("long")
+    base = F.filter("_spans", lambda x: x["rule"] < len(BASE))
+    return found.select("doc_id", *[count(r.kind).alias(f"n_{r.kind}") for r in BASE], F.sha2(_joined(base), 256).alias("base_sha256"), _joined(F.col("_spans")).alias("spans"))
 
 
 def redacted_text(text: Column, spans: Column, mask: str = "[REDACTED]") -> Column:
@@ -222,3 +222,12 @@ def redacted_text(text: Column, spans: Column, mask: str = "[REDACTED]") -> Colu
         ),
     )
     return F.when(F.size(spans) > 0, F.concat(walked["out"], F.substring(text, walked["at"] + 1, F.length(text)))).otherwise(text)
+
+
+def redacted(docs: DataFrame, mask: str = "[REDACTED]") -> DataFrame:
+    """The documents, all their columns, with every span masked in the text and n_chars, where there is one, of the new text. Null texts stay null."""
+    found = scan(docs)
+    found = found.withColumn("text", F.when(F.col("text").isNotNull(), redacted_text(F.col("text"), F.col("_spans"), mask)))
+    if "n_chars" in docs.columns:
+        found = found.withColumn("n_chars", F.when(F.size("_spans") > 0, F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars")))
+    return found.select(*docs.columns)

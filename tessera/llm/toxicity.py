@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import fold, over_texts
+from tessera.llm.common import fold, kept_texts, over_texts
 from tessera.llm.terms import hashed_terms
 
 
@@ -147,21 +147,33 @@ def toxicity(docs: DataFrame, labels: DataFrame, settings: Settings | None = Non
     The model, 2**bits rows of factors + 1 numbers, goes to the executors; documents are not shuffled.
     """
     settings = settings or Settings()
-    known = labels.select(F.col("doc_id").alias("key"), F.col("toxic").cast("int").alias("label")).where("key is not null and label is not null").where(fold(F.col("key"), folds) != 0).groupBy("key").agg(F.max("label").alias("label"))
-    return scored(docs, known, settings, folds)
-
-
-def scored(docs: DataFrame, known: DataFrame, settings: Settings, folds: int) -> DataFrame:
-    texts = docs.select(F.col("doc_id").alias("key"), F.coalesce(F.col("text"), F.lit("")).alias("text"))
-    machine = fitted(texts.join(known, "key"), settings)
-    model = docs.sparkSession.sparkContext.broadcast((machine.b, machine.w, machine.v))
+    model = fitted_on(docs, labels, settings, folds)
     narrow = docs.select("doc_id", (fold(F.col("doc_id"), folds) == 0).alias("held_out"), "text")
     kind = narrow.schema["doc_id"].dataType.simpleString()
 
     def work(rest, parts):
-        own = FactorizationMachine.__new__(FactorizationMachine)
-        own.b, own.w, own.v = model.value
-        score = 1 / (1 + np.exp(-np.clip(own.raw(*hashed_terms(parts, settings.bits)), -50, 50)))
+        score = probabilities(model.value, settings, parts)
         return {"doc_id": rest.column(0), "held_out": rest.column(1), "score": pa.array(score), "predicted": pa.array((score >= 0.5).astype(np.int32))}
 
     return over_texts(narrow, f"doc_id {kind}, held_out boolean, score double, predicted int", work)
+
+
+def fitted_on(docs: DataFrame, labels: DataFrame, settings: Settings, folds: int):
+    """The model, broadcast, fitted on the documents that have labels and aren't held out."""
+    known = labels.select(F.col("doc_id").alias("key"), F.col("toxic").cast("int").alias("label")).where("key is not null and label is not null").where(fold(F.col("key"), folds) != 0).groupBy("key").agg(F.max("label").alias("label"))
+    texts = docs.select(F.col("doc_id").alias("key"), F.coalesce(F.col("text"), F.lit("")).alias("text"))
+    machine = fitted(texts.join(known, "key"), settings)
+    return docs.sparkSession.sparkContext.broadcast((machine.b, machine.w, machine.v))
+
+
+def probabilities(model, settings: Settings, parts: list[bytes]) -> np.ndarray:
+    own = FactorizationMachine.__new__(FactorizationMachine)
+    own.b, own.w, own.v = model
+    return 1 / (1 + np.exp(-np.clip(own.raw(*hashed_terms(parts, settings.bits)), -50, 50)))
+
+
+def without_toxic(docs: DataFrame, labels: DataFrame, settings: Settings | None = None, folds: int = 5, threshold: float = 0.5) -> DataFrame:
+    """The documents, all their columns, whose score is below the threshold; see `toxicity`."""
+    settings = settings or Settings()
+    model = fitted_on(docs, labels, settings, folds)
+    return kept_texts(docs, lambda parts: probabilities(model.value, settings, parts) < threshold)
