@@ -163,10 +163,12 @@ def _posting_keys(docs: DataFrame, rules: tuple[Rule, ...]) -> DataFrame:
     queries = {r.kind: trigram_query(r.pattern) for r in rules}
     clauses = [(kind, k, sorted(c)) for kind, q in queries.items() if q for k, c in enumerate(q)]
     trigrams = sorted({t for _, _, c in clauses for t in c})
-    low = F.lower(F.col("text"))
-    kept = F.filter(F.array(*[F.when(low.contains(t), F.lit(t)) for t in trigrams]), lambda t: t.isNotNull())
-    postings = docs.select("id", "mark", F.explode(kept).alias("trigram"))
-    terms = docs.sparkSession.createDataFrame([(t, kind, k, len(c)) for kind, k, c in clauses for t in c], "trigram string, kind string, clause int, need int")
+    # a column of its own: lower-cased once, not for each trigram
+    low = docs.withColumn("low", F.lower(F.col("text")))
+    kept = F.filter(F.array(*[F.when(F.col("low").contains(t), F.lit(t)) for t in trigrams]), lambda t: t.isNotNull())
+    postings = low.select("id", "mark", F.explode(kept).alias("trigram"))
+    fixed = [F.struct(F.lit(t).alias("trigram"), F.lit(kind).alias("kind"), F.lit(k).alias("clause"), F.lit(len(c)).alias("need")) for kind, k, c in clauses for t in c]
+    terms = docs.sparkSession.range(1).select(F.inline(F.array(*fixed)))
     met = postings.join(F.broadcast(terms), "trigram").groupBy("id", "mark", "kind", "clause", "need").agg(F.count_distinct("trigram").alias("n"))
     return met.where("n = need").groupBy("id", "mark").agg(F.collect_set("kind").alias("kinds"))
 
