@@ -18,8 +18,9 @@ LANES, MODULUS, VARIANCE, BUCKET = 64, 1 << 16, 21.25, 2_000
 
 
 def paragraphs(text: Column) -> Column:
-    """Lines and sentences that aren't blank, without the white space about them."""
-    return F.filter(F.transform(F.split(text, r"\n+|(?<=[.!?])[ \t]+", -1), lambda p: F.trim(p)), lambda p: p != "")
+    """Lines, and sentences within them, that aren't blank, without the spaces about them."""
+    lines = F.split(F.regexp_replace(text, r"([.!?])[ \t]+", "$1\n"), "\n", -1)
+    return F.filter(F.transform(lines, lambda p: F.trim(p)), lambda p: p != "")
 
 
 def _lanes(parts: Column) -> Column:
