@@ -1,4 +1,6 @@
 import glob
+import subprocess
+import sys
 from pathlib import Path
 
 import duckdb
@@ -147,3 +149,12 @@ def test_against_sql(spark, name):
 
 def test_entry(spark):
     assert entry.entry(spark).count() > 0
+
+
+def test_entry_without_the_subpackage():
+    code = "import sys; sys.modules['corpus_pipeline'] = sys.modules['tessera.llm'] = None; import __spark_entry__ as e; q = e.queries(); assert 'J3' in q and 'pipeline' not in q and not [k for k in q if k.startswith('op')]; assert set(e.oracle_sql()) <= set(q)"
+    subprocess.run([sys.executable, "-c", code], check=True, cwd=Path(entry.__file__).parent)
+
+
+def test_every_sql_has_its_query():
+    assert set(entry.oracle_sql()) <= set(entry.queries())
