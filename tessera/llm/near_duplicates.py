@@ -8,25 +8,28 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.llm import textscan
-from tessera.llm.common import checkpointed, over_texts
+from tessera.llm.common import beside_texts, checkpointed, over_texts
 from tessera.llm.components import components
 
 #: Words of a shingle; bands and rows of a band. A pair of Jaccard similarity 0.75 shares no band once in 50,000.
 WORDS, BANDS, ROWS = 5, 40, 5
 COORDINATES = BANDS * ROWS
-#: Coordinates of two signatures that agree, below which no pair can reach 0.75 but once in 10**9.
-LEAST_AGREE = int(COORDINATES * 0.55)
+#: Bits of a sketch, one of each of further coordinates, and how many standard deviations a pair of the
+#: similarity asked for may lie off before it isn't compared on full sets: once in 3 million.
+BITS, DEVIATIONS = 1024, 5.0
+#: Rounds in which each node meets one node of each of its buckets, before buckets still open are compared in full.
+ROUNDS = 2
 
 
-def circulant_minhash(shingles: np.ndarray, out: np.ndarray) -> None:
-    """Signature of a set of mixed 64-bit hashes into `out` (uint32).
+def circulant_minhash(shingles: np.ndarray, out: np.ndarray, first: int = 0) -> None:
+    """Signature of a set of mixed 64-bit hashes into `out` (uint32), from shift `first` on.
 
     The first permutation places a shingle on a circle of 2**32 (its hash's low half). Coordinate k is
     the least value of the second permutation, a bijective mix of 32 bits, shifted k places around it.
     """
     out[:] = 0xFFFFFFFF
     place = (shingles & np.uint64(0xFFFFFFFF)).astype(np.uint32)
-    shift = np.arange(len(out), dtype=np.uint32)
+    shift = np.arange(first, first + len(out), dtype=np.uint32)
     for at in range(0, len(place), 256):
         x = place[at : at + 256, None] - shift[None, :]
         x *= np.uint32(0x85EBCA6B)
@@ -91,27 +94,66 @@ def _signed(rest, parts):
 
 def _sets(rest, parts):
     s = Shingled(parts)
-    sets, signatures = [], []
+    sets, signature = [], np.zeros((len(parts), BITS), np.uint32)
     for k in range(len(parts)):
         own = s.shingles(k)
-        signature = np.zeros(COORDINATES, np.uint32)
         if len(own):
-            circulant_minhash(own, signature)
+            circulant_minhash(own, signature[k], COORDINATES)
         sets.append(own.view(np.int64))
-        signatures.append(signature.view(np.int32))
-    return {"key": s.keys(), "shingles": pa.array(sets, pa.list_(pa.int64())), "signature": pa.array(signatures, pa.list_(pa.int32()))}
+    bits = np.packbits((signature * np.uint32(0x9E3779B1)) >> np.uint32(31), axis=1).view(np.int64)
+    return {"key": s.keys(), "shingles": pa.array(sets, pa.list_(pa.int64())), "sketch": pa.array(list(bits), pa.list_(pa.int64()))}
+
+
+def _near(x: str, y: str, percent: int):
+    """Whether two nodes can be similar, by their sets' sizes and their sketches: bits agree as often as half of 1 + Jaccard."""
+    agree = (1 + percent / 100) / 2
+    most = BITS * (1 - agree) + DEVIATIONS * (BITS * agree * (1 - agree)) ** 0.5
+    sizes = 100 * F.least(f"{x}.n", f"{y}.n") >= percent * F.greatest(f"{x}.n", f"{y}.n")
+    apart = sum((F.bit_count(F.col(f"{x}.sketch")[k].bitwiseXOR(F.col(f"{y}.sketch")[k])) for k in range(BITS // 64)), F.lit(0))
+    return sizes & (apart <= int(most))
 
 
 def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b) of nodes whose full sets reach the similarity; sizes and signatures rule out most of the others first."""
-    small = sets.select("key", "signature", F.size("shingles").alias("n"))
-    x, y = small.toDF("a", "sa", "na"), small.toDF("b", "sb", "nb")
-    agree = F.aggregate(F.zip_with("sa", "sb", lambda p, q: (p == q).cast("int")), F.lit(0), lambda t, e: t + e)
-    likely = pairs.join(x, "a").join(y, "b").where((100 * F.least("na", "nb") >= percent * F.greatest("na", "nb")) & (agree >= LEAST_AGREE)).select("a", "b")
+    """Pairs (a, b) of nodes whose full sets reach the similarity."""
     full = sets.select("key", "shingles")
-    both = likely.join(full.toDF("a", "xa"), "a").join(full.toDF("b", "xb"), "b")
-    inter = F.size(F.array_intersect("xa", "xb"))
-    return both.withColumn("i", inter).where(100 * F.col("i") >= percent * (F.size("xa") + F.size("xb") - F.col("i"))).select("a", "b")
+    both = pairs.join(full.toDF("a", "xa"), "a").join(full.toDF("b", "xb"), "b").withColumn("i", F.size(F.array_intersect("xa", "xb")))
+    return both.where(100 * F.col("i") >= percent * (F.size("xa") + F.size("xb") - F.col("i"))).select("a", "b")
+
+
+def _pairs(rows: DataFrame) -> DataFrame:
+    return rows.select(F.least("x.key", "y.key").alias("a"), F.greatest("x.key", "y.key").alias("b")).distinct()
+
+
+def _placed(members: DataFrame, labels: DataFrame | None) -> DataFrame:
+    """Members of buckets with their component so far."""
+    if labels is None:
+        return members.withColumn("root", F.col("key"))
+    return members.join(labels.withColumnRenamed("node", "key"), "key", "left").withColumn("root", F.coalesce("root", "key"))
+
+
+def _open(placed: DataFrame, round_: int) -> DataFrame:
+    """Of each bucket with several components: one node, another in each round, as `y`."""
+    lead = F.min(F.struct(F.xxhash64("key", F.lit(round_)).alias("h"), "key", "root", "n", "sketch"))
+    return placed.groupBy("band").agg(lead.alias("y"), F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi").select(F.col("band").alias("open_band"), "y")
+
+
+def _linked(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """(node, root) of the graph of all similar pairs that share a bucket."""
+    links = labels = None
+    for k in range(ROUNDS):
+        placed = _placed(members, labels).alias("x")
+        opened = _open(placed, k)
+        found = placed.join(opened, (F.col("x.band") == F.col("open_band")) & (F.col("x.root") != F.col("y.root")) & _near("x", "y", percent))
+        fresh = checkpointed(_confirmed(_pairs(found), sets, percent))
+        links = fresh if links is None else links.unionByName(fresh)
+        labels = checkpointed(components(links))
+    placed = checkpointed(_placed(members, labels))
+    opened = checkpointed(_open(placed, ROUNDS).select("open_band", F.col("y.root").alias("main")))
+    rest = placed.join(opened, F.col("band") == F.col("open_band"))
+    # every node outside the bucket's main component against all of the bucket's other components
+    x, y = rest.where("root <> main").alias("x"), rest.alias("y")
+    across = x.join(y, (F.col("x.band") == F.col("y.band")) & (F.col("x.root") != F.col("y.root")) & _near("x", "y", percent))
+    return components(links.unionByName(_confirmed(_pairs(across), sets, percent)))
 
 
 def near_duplicates(docs: DataFrame, percent: int = 75) -> DataFrame:
@@ -123,12 +165,12 @@ def near_duplicates(docs: DataFrame, percent: int = 75) -> DataFrame:
     an empty table gives no rows; a null id is smaller than none: a group's id is its least non-null one.
     Further columns are not read.
 
-    Equal word sequences are one node, so copies never make pairs. Nodes that share a band meet in two
-    steps. First each node is held against one node only, the least node of the band that most of its
-    bands name. Then, in buckets whose nodes are still in several components, every pair of nodes across
-    components is held. So a large group of near copies costs about one comparison a member, and every
-    pair that shares a band is compared or already joined. Comparisons are exact, on full sets; sets are
-    built for nodes that share a band with another only.
+    Equal word sequences are one node, so copies never make pairs. In each of a few rounds every node of
+    a bucket that holds several components so far is held against one node of it, another in each round,
+    so a large group of near copies costs a comparison a member and bucket, and falls together. In buckets
+    still open, every node outside the main component is then held against all nodes of other components:
+    each pair that shares a band is compared or already joined. Sizes and sketches rule out pairs within
+    the join; the others are compared on full sets, which are built for nodes that share a band only.
     """
     text = F.coalesce(F.col("text"), F.lit(""))
     mark = F.xxhash64(text)
@@ -139,21 +181,13 @@ def near_duplicates(docs: DataFrame, percent: int = 75) -> DataFrame:
         rows.where("n_shingles > 0").groupBy("key").agg(F.min("doc_id").alias("rep"), F.min(F.struct("doc_id", "mark")).alias("least"), F.first("bands", ignorenulls=True).alias("bands"))
     )
     banded = nodes.select("key", F.explode("bands").alias("band"))
-    shared = checkpointed(banded.groupBy("band").agg(F.min("key").alias("leader"), F.count(F.lit(1)).alias("n")).where("n > 1").select("band", "leader"))
-    members = checkpointed(banded.join(shared, "band"))
-    votes = members.where("key <> leader").groupBy("key", "leader").agg(F.count(F.lit(1)).alias("n"))
-    first = votes.groupBy("key").agg(F.max(F.struct("n", "leader")).alias("v")).select(F.col("v.leader").alias("a"), F.col("key").alias("b"))
+    shared = checkpointed(banded.groupBy("band").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("band"))
+    members = checkpointed(banded.join(shared.select("band"), "band", "left_semi"))
     met = members.select("key").distinct().join(nodes, "key").select(F.col("least.doc_id").alias("doc_id"), F.col("least.mark").alias("mark")).distinct()
-    wanted = source.join(met.toDF("m_id", "m_mark"), F.col("doc_id").eqNullSafe(F.col("m_id")) & (F.col("mark") == F.col("m_mark")), "left_semi")
-    sets = checkpointed(over_texts(wanted.select("text"), "key binary, shingles array<long>, signature array<int>", _sets).dropDuplicates(["key"]))
-    links = checkpointed(_confirmed(first, sets, percent))
-    labels = components(links)
-    placed = members.join(labels.withColumnRenamed("node", "key"), "key", "left").select("band", "key", F.coalesce("root", "key").alias("root"))
-    mixed = placed.groupBy("band").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi").select("band")
-    open_ = checkpointed(placed.join(mixed, "band"))
-    across = open_.toDF("band", "a", "ra").join(open_.toDF("band", "b", "rb"), "band").where("a < b and ra <> rb").select("a", "b").distinct()
-    more = _confirmed(across, sets, percent)
-    labels = components(links.unionByName(more))
+    wanted = source.join(beside_texts(met.toDF("m_id", "m_mark")), F.col("doc_id").eqNullSafe(F.col("m_id")) & (F.col("mark") == F.col("m_mark")), "left_semi")
+    sets = checkpointed(over_texts(wanted.select("text"), "key binary, shingles array<long>, sketch array<long>", _sets).dropDuplicates(["key"]))
+    sketched = checkpointed(members.join(sets.select("key", F.size("shingles").alias("n"), "sketch"), "key"))
+    labels = _linked(sketched, sets, percent)
     grouped = nodes.select("key", "rep").join(labels.withColumnRenamed("node", "key"), "key", "left").select("key", "rep", F.coalesce("root", "key").alias("root"))
     ids = grouped.groupBy("root").agg(F.min("rep").alias("component_id"))
     named = grouped.join(ids, "root").select("key", "component_id")
@@ -164,5 +198,8 @@ def near_duplicates(docs: DataFrame, percent: int = 75) -> DataFrame:
 
 def deduplicated(docs: DataFrame, percent: int = 75) -> DataFrame:
     """The documents, all their columns, that are the least id of their group; see `near_duplicates`. Rows that share both the id and the group stay together."""
-    kept = near_duplicates(docs, percent).where("kept").select(F.col("doc_id").alias("_kept_id")).distinct()
-    return docs.join(kept, F.col("doc_id").eqNullSafe(F.col("_kept_id")), "left_semi")
+    found = checkpointed(near_duplicates(docs, percent).select("doc_id", "kept"))
+    kept = found.where("kept").select(F.col("doc_id").alias("_kept_id")).distinct()
+    gone = found.where("not kept").select(F.col("doc_id").alias("_gone_id")).distinct()
+    gone = gone.join(kept, F.col("_gone_id").eqNullSafe(F.col("_kept_id")), "left_anti")
+    return docs.join(beside_texts(gone), F.col("doc_id").eqNullSafe(F.col("_gone_id")), "left_anti")
