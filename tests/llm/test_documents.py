@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tessera.llm import secrets
+from tessera.llm.components import components
 from tessera.llm.decontamination import contamination, decontaminated
 from tessera.llm.fingerprints import combined, edited_fingerprints, fingerprint, likeness
 from tessera.llm.language import identify
@@ -133,6 +134,27 @@ def brute_groups(docs):
     return sorted([(d, len(s), least.get(find(i)), least.get(find(i)) == d) for i, ((d, _), s) in enumerate(zip(docs, sets))], key=str)
 
 
+@pytest.mark.parametrize("most", [500_000, 0])
+def test_components(spark, monkeypatch, most):
+    monkeypatch.setattr("tessera.llm.components.TASK_EDGES", most)
+    rnd = random.Random(9)
+    pairs = [(k, k + 1) for k in range(100, 160)] + [(500, k) for k in range(501, 560)] + [(rnd.randrange(1000, 1200), rnd.randrange(1000, 1200)) for _ in range(90)] + [(7, 7)]
+    root = {}
+
+    def find(x):
+        while root.setdefault(x, x) != x:
+            x = root[x]
+        return x
+
+    for a, b in pairs:
+        a, b = find(a), find(b)
+        root[max(a, b)] = min(a, b)
+    got = {r["node"]: r["root"] for r in components(spark.createDataFrame(pairs, "a long, b long")).collect()}
+    assert got == {x: find(x) for x in root if x in got}
+    assert {x for x in root if any(x in p and p[0] != p[1] for p in pairs)} == set(got)
+    assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
 def test_near_duplicates(spark):
     rnd = random.Random(4)
     base = [prose(rnd, n, 500) for n in (5, 6, 30, 80, 200)]
