@@ -100,26 +100,25 @@ class FactorizationMachine:
                 self.w[which] = np.where(np.abs(z) <= s.sparse, 0, -(z - np.sign(z) * s.sparse) / ((1.0 + np.sqrt(new)) / s.rate))
 
 
-def fitted(labelled: DataFrame, settings: Settings) -> FactorizationMachine:
-    """Fit on (key, text, label), label 0 or 1: a bounded sample of rows chosen by hash of their key.
+def fitted(docs: DataFrame, known: DataFrame, settings: Settings) -> FactorizationMachine:
+    """Fit on (key, text) rows and the labels (key, label), 0 or 1, of a bounded sample of keys chosen by hash.
 
-    Terms are hashed on the executors; the driver gets numbers only, bounded by the sample's rows and bytes.
+    The keys, at most twice `sample`, go to the executors, so texts are not shuffled. Terms are hashed
+    there; the driver gets numbers only, bounded by the sample's rows and bytes.
     """
     s = settings
-    known = labelled.where("label in (0, 1)")
+    known = known.where("label in (0, 1)")
     counts = {r["label"]: r["n"] for r in known.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
     parts = []
     for label in (0, 1):
-        n = counts.get(label, 0)
-        if n:
-            share = min(1.0, 1.15 * s.sample / n)
-            chosen = known.where((F.col("label") == label) & (F.pmod(F.xxhash64("key", F.lit(s.seed)), F.lit(1_000_000)) < int(share * 1_000_000) + 1))
-            parts.append(chosen.where(F.octet_length("text") <= s.sample_bytes).orderBy(F.xxhash64("key", F.lit(s.seed)), "key", F.xxhash64("text")).limit(s.sample))
+        if counts.get(label):
+            parts.append(known.where(F.col("label") == label).orderBy(F.xxhash64("key", F.lit(s.seed)), "key").limit(s.sample))
     machine = FactorizationMachine(s)
     if len(parts) < 2:  # nothing to tell apart
         machine.b = -4.0 if 0 in counts or not counts else 4.0
         return machine
-    sample = parts[0].unionByName(parts[1]).select("key", "label", "text")
+    chosen = parts[0].unionByName(parts[1])
+    sample = docs.join(F.broadcast(chosen), "key").where(F.octet_length("text") <= s.sample_bytes)
 
     def work(rest, texts):
         terms, at = hashed_terms(texts, s.bits)
@@ -127,7 +126,11 @@ def fitted(labelled: DataFrame, settings: Settings) -> FactorizationMachine:
         return {"key": rest.column(0), "label": rest.column(1), "terms": pa.array([own[a:b].tobytes() for a, b in zip(at[:-1], at[1:])], pa.binary())}
 
     kind = sample.schema["key"].dataType.simpleString()
-    got = over_texts(sample.select("key", F.col("label").cast("int").alias("label"), "text"), f"key {kind}, label int, terms binary", work).toArrow()
+    got = over_texts(sample.select("key", F.col("label").cast("int").alias("label"), "text"), f"key {kind}, label int, terms binary", work)
+    got = got.limit(4 * s.sample).toArrow()  # the limit is for ids that repeat
+    if len(set(got["label"].to_pylist())) < 2:
+        machine.b = 4.0 if got.num_rows and got["label"][0].as_py() else -4.0
+        return machine
     order = sorted(range(got.num_rows), key=lambda i: (str(got["key"][i].as_py()), got["terms"][i].as_py()))
     arrays = [np.frombuffer(got["terms"][i].as_py(), np.int32) for i in order]
     label = np.array([got["label"][i].as_py() for i in order], np.float64)
@@ -162,7 +165,7 @@ def fitted_on(docs: DataFrame, labels: DataFrame, settings: Settings, folds: int
     """The model, broadcast, fitted on the documents that have labels and aren't held out."""
     known = labels.select(F.col("doc_id").alias("key"), F.col("toxic").cast("int").alias("label")).where("key is not null and label is not null").where(fold(F.col("key"), folds) != 0).groupBy("key").agg(F.max("label").alias("label"))
     texts = docs.select(F.col("doc_id").alias("key"), F.coalesce(F.col("text"), F.lit("")).alias("text"))
-    machine = fitted(texts.join(known, "key"), settings)
+    machine = fitted(texts, known, settings)
     return docs.sparkSession.sparkContext.broadcast((machine.b, machine.w, machine.v))
 
 
