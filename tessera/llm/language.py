@@ -24,7 +24,7 @@ _LETTERS[0x61:0x7B] = _LETTERS[0x80:] = True
 
 @dataclass
 class Settings:
-    """bits: log2 of the table of hashed byte n-grams (2 to 4, word ends included). sample: documents of a language that are learnt from at most, sample_bytes of text each at most. penalty: of a switch between words. smooth: added to each count."""
+    """bits: log2 of the table of hashed byte n-grams (2 to 4, word ends included). sample: documents of a language that are learnt from, by hash, sample_bytes of text each at most. penalty: of a switch between words. smooth: added to each count."""
 
     bits: int = 16
     sample: int = 2_000
@@ -165,11 +165,9 @@ def learnt(docs: DataFrame, settings: Settings) -> Model:
     counts = {r["lang"]: r["n"] for r in known.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
     names = sorted(counts)
     parts = None
-    for name in names:
-        share = min(1.0, 1.2 * s.sample / counts[name] + 1e-6)
-        rows = known.where((F.col("lang") == name) & (F.pmod(F.xxhash64("key"), F.lit(1_000_000)) < int(share * 1_000_000) + 1) & (F.octet_length("text") <= s.sample_bytes))
-        rows = rows.orderBy(F.xxhash64("key"), "key", F.xxhash64("text")).limit(s.sample).select("lang", "text")
-        parts = rows if parts is None else parts.unionByName(rows)
+    if names:  # one scan: a language's rows are taken by hash at the rate that gives `sample` of them
+        rate = F.element_at(F.create_map(*[F.lit(x) for name in names for x in (name, max(1, min(1_000_000, int(1e6 * s.sample / counts[name]))))]), F.col("lang"))
+        parts = known.where((F.pmod(F.xxhash64("key", F.xxhash64("text")), F.lit(1_000_000)) < rate) & (F.octet_length("text") <= s.sample_bytes)).select("lang", "text")
     size = 1 << s.bits
     table, scripts = np.full((size, max(1, len(names))), s.smooth), np.zeros((max(1, len(names)), 256))
     if parts is not None:
