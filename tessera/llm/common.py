@@ -34,6 +34,16 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+#: Rows of a narrow table (an id, a hash, a few words) that are sent to all executors instead of shuffling texts to them.
+BROADCAST_ROWS = 500_000
+
+
+def beside_texts(narrow: DataFrame) -> DataFrame:
+    """A narrow table for a join with texts: counted, and broadcast if it has at most `BROADCAST_ROWS` rows; else both sides are shuffled."""
+    narrow = checkpointed(narrow)
+    return F.broadcast(narrow) if narrow.count() <= BROADCAST_ROWS else narrow
+
+
 def over_texts(df: DataFrame, schema: str, work, limit: int = textscan.BLOCK_BYTES) -> DataFrame:
     """Run `work` over blocks of about `limit` bytes of text.
 

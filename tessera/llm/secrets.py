@@ -15,6 +15,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tessera.llm.common import beside_texts
+
 #: Alternatives that a derived query may have before the rule counts as one without mandatory trigrams.
 MOST_ALTERNATIVES = 64
 
@@ -185,7 +187,7 @@ def scan(docs: DataFrame, rules: tuple[Rule, ...] = BASE + ADDED) -> DataFrame:
     """
     text = F.coalesce(F.col("text"), F.lit(""))
     base = docs.select(F.col("doc_id").alias("id"), F.xxhash64(text).alias("mark"), text.alias("text"))
-    found = _posting_keys(base, rules).toDF("_id", "_mark", "_kinds")
+    found = beside_texts(_posting_keys(base, rules).toDF("_id", "_mark", "_kinds"))
     first = docs.withColumn("_own", F.xxhash64(text)).join(found, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_own") == F.col("_mark")), "left")
     none = F.expr("cast(array() as array<struct<start:int,end:int,size:int>>)")
     parts = []
