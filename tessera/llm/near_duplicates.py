@@ -137,7 +137,7 @@ def _open(placed: DataFrame, round_: int) -> DataFrame:
     return placed.groupBy("band").agg(lead.alias("y"), F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi").select(F.col("band").alias("open_band"), "y")
 
 
-def _linked(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+def _linked(members: DataFrame, sets: DataFrame, bands: DataFrame, percent: int) -> DataFrame:
     """(node, root) of the graph of all similar pairs that share a bucket."""
     links = labels = None
     for k in range(ROUNDS):
@@ -149,10 +149,12 @@ def _linked(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
         labels = checkpointed(components(links))
     placed = checkpointed(_placed(members, labels))
     opened = checkpointed(_open(placed, ROUNDS).select("open_band", F.col("y.root").alias("main")))
-    rest = placed.join(opened, F.col("band") == F.col("open_band"))
+    rest = placed.join(opened, F.col("band") == F.col("open_band")).join(bands, "key")
     # every node outside the bucket's main component against all of the bucket's other components
     x, y = rest.where("root <> main").alias("x"), rest.alias("y")
-    across = x.join(y, (F.col("x.band") == F.col("y.band")) & (F.col("x.root") != F.col("y.root")) & _near("x", "y", percent))
+    # a pair comes out of the first bucket that it shares only
+    once = F.element_at(F.array_intersect("x.bands", "y.bands"), 1) == F.col("x.band")
+    across = x.join(y, (F.col("x.band") == F.col("y.band")) & (F.col("x.root") != F.col("y.root")) & _near("x", "y", percent) & once)
     return components(links.unionByName(_confirmed(_pairs(across), sets, percent)))
 
 
@@ -187,7 +189,7 @@ def near_duplicates(docs: DataFrame, percent: int = 75) -> DataFrame:
     wanted = source.join(beside_texts(met.toDF("m_id", "m_mark")), F.col("doc_id").eqNullSafe(F.col("m_id")) & (F.col("mark") == F.col("m_mark")), "left_semi")
     sets = checkpointed(over_texts(wanted.select("text"), "key binary, shingles array<long>, sketch array<long>", _sets).dropDuplicates(["key"]))
     sketched = checkpointed(members.join(sets.select("key", F.size("shingles").alias("n"), "sketch"), "key"))
-    labels = _linked(sketched, sets, percent)
+    labels = _linked(sketched, sets, nodes.select("key", "bands"), percent)
     grouped = nodes.select("key", "rep").join(labels.withColumnRenamed("node", "key"), "key", "left").select("key", "rep", F.coalesce("root", "key").alias("root"))
     ids = grouped.groupBy("root").agg(F.min("rep").alias("component_id"))
     named = grouped.join(ids, "root").select("key", "component_id")
