@@ -13,18 +13,18 @@ from tessera.llm import textscan
 from tessera.llm.common import fold, over_texts
 
 # First code points of Unicode blocks, and the script of what follows. 1 is Latin, 0 no letters.
-_SCRIPT_STARTS = np.array([0, 0x41, 0x5B, 0x61, 0x7B, 0xAA, 0xAB, 0xB5, 0xB6, 0xBA, 0xBB, 0xC0, 0xD7, 0xD8, 0xF7, 0xF8, 0x250, 0x370, 0x400, 0x530, 0x590, 0x600, 0x700, 0x900, 0x980, 0xA00, 0xB80, 0xC00, 0xE00, 0xE80, 0xF00, 0x1000, 0x10A0, 0x1100, 0x1200, 0x1400, 0x1780, 0x1800, 0x1E00, 0x1F00, 0x2000, 0x2C60, 0x2C80, 0x3040, 0x3100, 0x3400, 0xA000, 0xAC00, 0xD7B0, 0xFF21, 0xFF5B, 0x20000, 0x2FA20])
-_SCRIPTS = np.array([0, 1, 0, 1, 0, 1, 0, 1, 0, 1, 0, 1, 0, 1, 0, 1, 1, 2, 3, 4, 5, 6, 7, 8, 9, 10, 11, 12, 13, 14, 15, 16, 17, 18, 19, 20, 21, 22, 1, 2, 0, 1, 20, 23, 24, 25, 20, 18, 20, 1, 0, 25, 0], np.uint8)
+_SCRIPT_STARTS = np.array([0, 0x41, 0x5B, 0x61, 0x7B, 0xAA, 0xAB, 0xB5, 0xB6, 0xBA, 0xBB, 0xC0, 0xD7, 0xD8, 0xF7, 0xF8, 0x250, 0x370, 0x400, 0x530, 0x590, 0x600, 0x60C, 0x60D, 0x61B, 0x61C, 0x61F, 0x620, 0x6D4, 0x6D5, 0x700, 0x900, 0x964, 0x966, 0x980, 0xA00, 0xB80, 0xC00, 0xE00, 0xE80, 0xF00, 0x1000, 0x10A0, 0x1100, 0x1200, 0x1400, 0x1780, 0x1800, 0x1E00, 0x1F00, 0x2000, 0x2C60, 0x2C80, 0x2E00, 0x2E80, 0x3000, 0x3005, 0x3008, 0x3021, 0x302A, 0x3031, 0x3036, 0x3038, 0x303D, 0x3040, 0x30FB, 0x30FC, 0x3100, 0x3400, 0xA000, 0xAC00, 0xD7B0, 0xFE10, 0xFE70, 0xFF00, 0xFF21, 0xFF3B, 0xFF41, 0xFF5B, 0xFF66, 0xFFA0, 0xFFDD, 0x20000, 0x2FA20])
+_SCRIPTS = np.array([0, 1, 0, 1, 0, 1, 0, 1, 0, 1, 0, 1, 0, 1, 0, 1, 1, 2, 3, 4, 5, 6, 0, 6, 0, 6, 0, 6, 0, 6, 7, 8, 0, 8, 9, 10, 11, 12, 13, 14, 15, 16, 17, 18, 19, 20, 21, 22, 1, 2, 0, 1, 20, 0, 20, 0, 25, 0, 25, 0, 23, 0, 25, 0, 23, 0, 23, 24, 25, 20, 18, 20, 0, 6, 0, 1, 0, 1, 0, 23, 18, 0, 25, 0], np.uint8)
 
+#: Bytes of a run of letters that are one word; a longer run is cut into pieces of about as many, which are words each.
+PIECE = 40
 #: Words of a chunk, whose max-plus map is found beside those of all others.
 CHUNK = 128
-_LETTERS = np.zeros(256, bool)
-_LETTERS[0x61:0x7B] = _LETTERS[0x80:] = True
 
 
 @dataclass
 class Settings:
-    """bits: log2 of the table of hashed byte n-grams (2 to 4, word ends included). sample: documents of a language that are learnt from, by hash, sample_bytes of text each at most. penalty: of a switch between words. smooth: added to each count."""
+    """bits: log2 of the table of hashed byte n-grams (2 to 4, ends of runs included). sample: documents of a language that are learnt from, by hash, sample_bytes of text each at most. penalty: of a switch between words. smooth: added to each count."""
 
     bits: int = 16
     sample: int = 2_000
@@ -33,47 +33,77 @@ class Settings:
     smooth: float = 0.5
 
 
+def pieces(data: np.ndarray, begins: np.ndarray, stops: np.ndarray):
+    """Runs of letters cut into words: (starts, ends, whether first of its run, whether last, the run's end)."""
+    count = np.maximum(1, -(-(stops - begins) // PIECE))
+    run = np.repeat(np.arange(len(begins)), count)
+    k = np.arange(len(run)) - np.repeat(np.cumsum(count) - count, count)
+    first, last = k == 0, k == count[run] - 1
+    starts = begins[run] + k * PIECE
+    for _ in range(3):  # back to the begin of a character
+        starts -= ~first & ((data[starts] & 0xC0) == 0x80)
+    stop = stops[run]
+    ends = np.where(last, stop, np.append(starts[1:], 0))
+    return starts, ends, first, last, stop
+
+
 class Words:
-    """Words (runs of letters) of texts; the distinct ones with their script and n-grams."""
+    """Words of texts; the distinct ones with their script and n-grams.
+
+    A word is a run of letters. Runs of over `PIECE` bytes, as in scripts without spaces, are cut between
+    characters into words that all count; the n-grams that begin in one reach into the next.
+    """
 
     def __init__(self, parts: list[bytes], bits: int):
         data, begin, _ = textscan.joined(parts)
         data = textscan.lower_ascii(data)
-        starts, ends = textscan.runs(_LETTERS[data])
-        script = np.zeros(data.size, np.uint8)
-        ascii_ = data < 0x80
-        script[ascii_ & _LETTERS[data]] = 1
+        script = ((data >= 0x61) & (data < 0x7B)).astype(np.uint8)
         for low, high, size, mask in ((0xC0, 0xE0, 2, 0x1F), (0xE0, 0xF0, 3, 0x0F), (0xF0, 0xF8, 4, 0x07)):
             lead = np.flatnonzero((data >= low) & (data < high))
             if lead.size:
                 code = (data[lead] & mask).astype(np.int64)
                 for k in range(1, size):
                     code = (code << 6) | (data[lead + k] & 0x3F)
-                script[lead] = _SCRIPTS[np.searchsorted(_SCRIPT_STARTS, code, "right") - 1]
+                found = _SCRIPTS[np.searchsorted(_SCRIPT_STARTS, code, "right") - 1]
+                for k in range(size):
+                    script[lead + k] = found
+        begins, stops = textscan.runs(script > 0)
+        starts, ends, first, last, stop = pieces(data, begins, stops)
         kind = np.maximum.reduceat(script, starts) if len(starts) else np.zeros(0, np.uint8)
-        solid = kind > 0  # runs of signs beyond ASCII are no words
-        starts, ends, kind = starts[solid], ends[solid], kind[solid]
         self.first = np.concatenate((np.searchsorted(starts, begin), [len(starts)]))
         self.letters = ends - starts
-        hashes = textscan.span_hashes(data, starts, ends) if len(starts) else np.zeros(0, np.uint64)
+        # n-grams begin in the word, and at the white space before a run; a run's neighbours are taken as white space
+        reach = np.where(last, stop + 1, np.minimum(ends + 3, stop + 1))
+        hashes = textscan.span_hashes(data, starts, ends)
+        cut = np.flatnonzero(~(first & last))
+        if cut.size:  # the same bytes are the same word only if what their n-grams reach is
+            more = reach[cut] - ends[cut]
+            key = first[cut].astype(np.uint64) | (last[cut].astype(np.uint64) << np.uint64(1)) | (more.astype(np.uint64) << np.uint64(2))
+            for k in range(3):
+                source = ends[cut] + k
+                byte = np.where((k < more) & (source < stop[cut]), data[np.minimum(source, data.size - 1)], 0x20)
+                key |= byte.astype(np.uint64) << np.uint64(8 * (k + 1))
+            hashes[cut] = textscan.mix64(hashes[cut] ^ textscan.mix64(key + np.uint64(1 << 40)))
         _, at, self.back = np.unique(hashes, return_index=True, return_inverse=True)
         self.script = kind[at]
-        # n-grams of the distinct words, the bytes about them taken as white space
-        a, b = starts[at], ends[at]
-        n = np.minimum(b - a, 40) + 2
+        a, b, stop = starts[at] - first[at], reach[at], stop[at]
+        bound = np.where(last[at], b, ends[at])  # n-grams begin before it
+        n = b - a
         total = int(n.sum())
         before = np.cumsum(n) - n
         place = np.arange(total) - np.repeat(before, n)
-        source = np.repeat(a - 1, n) + place
-        value = np.where((place == 0) | (place == np.repeat(n, n) - 1), 0x20, data[np.maximum(source, 0)]).astype(np.uint64)
+        source = np.repeat(a, n) + place
+        outside = (source == np.repeat(stop, n)) | ((place == 0) & np.repeat(first[at], n))
+        value = np.where(outside, 0x20, data[np.clip(source, 0, data.size - 1)]).astype(np.uint64)
         left = np.repeat(n, n) - place
+        own = source < np.repeat(bound, n)
         word = np.repeat(np.arange(len(a)), n)
         grams, owners = [], []
         x = value.copy()
         for size in (2, 3, 4):
             x = x[: total - size + 1] if size > 1 else x
             x = (x[: max(0, total - size + 1)] << np.uint64(8)) | value[size - 1 :]
-            keep = left[: len(x)] >= size
+            keep = (left[: len(x)] >= size) & own[: len(x)]
             grams.append((textscan.mix64(x[keep] + np.uint64(size << 40)) >> np.uint64(64 - bits)).astype(np.int64))
             owners.append(word[: len(x)][keep])
         self.grams, self.owner = np.concatenate(grams), np.concatenate(owners)

@@ -3,14 +3,15 @@ import random
 import re
 import zlib
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tessera.llm import secrets
+from tessera.llm import secrets, textscan
 from tessera.llm.components import components
 from tessera.llm.decontamination import contamination, decontaminated
 from tessera.llm.fingerprints import combined, edited_fingerprints, fingerprint, likeness
-from tessera.llm.language import identify
+from tessera.llm.language import Words, identify
 from tessera.llm.near_duplicates import deduplicated, near_duplicates
 from tessera.llm.secrets import redacted, secret_report, trigram_query
 from tessera.llm.sharding import difference, leaves, shard_by_bytes
@@ -226,6 +227,37 @@ def test_language(spark):
     assert {r["lang_pred"] for r in identify(df.withColumn("lang", F.lit(None).cast("string"))).collect()} == {"und"}
 
 
+def test_language_without_spaces(spark):
+    rnd = random.Random(11)
+    signs = {"xa": [chr(0x4E00 + k) for k in range(60)], "xb": [chr(0x5E00 + k) for k in range(60)]}
+    make = lambda lang, n: "".join(rnd.choice(signs[lang]) for _ in range(n))
+    rows = [(k, "。".join(make(lang, rnd.randrange(20, 200)) for _ in range(3)), lang) for k, lang in enumerate(rnd.choice(list(signs)) for _ in range(200))]
+    odd = [(900, make("xa", 60) + make("xb", 400), None), (901, make("xa", 40) + "、" + make("xb", 500) + "。" + make("xa", 40), None)]
+    got = {r["doc_id"]: r for r in identify(spark.createDataFrame([*rows, *odd], "doc_id long, text string, lang string")).collect()}
+    assert all(got[k]["lang_pred"] == lang for k, _, lang in rows if got[k]["held_out"])
+    assert [(got[k]["lang_pred"], got[k]["spans"]) for k in (900, 901)] == [("xb", 2), ("xb", 3)]
+    assert abs(got[900]["score"] - 400 / 460) < 0.04
+
+
+def test_language_ngrams():
+    """N-grams of words and of cut runs are those of the runs between white space, each once."""
+    rnd = random.Random(12)
+    runs = ["".join(rnd.choice("abé日本😀語ж") for _ in range(rnd.randrange(1, 90))) for _ in range(300)]
+    text = " ".join(runs)
+    words = Words([text.encode()], 16)
+    times = np.bincount(words.back, minlength=len(words.script))
+    got = np.bincount(words.grams, times[words.owner].astype(float), 1 << 16)
+    want = np.zeros(1 << 16)
+    for run in re.findall("[abé日本語ж]+", text):
+        b = b" " + run.encode() + b" "
+        for size in (2, 3, 4):
+            for k in range(len(b) - size + 1):
+                x = np.array([int.from_bytes(b[k : k + size], "big") + (size << 40)], np.uint64)
+                want[int(textscan.mix64(x)[0] >> np.uint64(48))] += 1
+    assert (got == want).all()
+    assert words.letters.sum() == sum(len(r.encode()) for r in re.findall("[abé日本語ж]+", text))
+
+
 # ---- secrets
 
 
