@@ -348,3 +348,14 @@ def test_homomorphism(spark):
     r = df.select((combined(p[0], p[1]) == p[2]).alias("joined"), (combined(p[2], p[1], -1) == p[0]).alias("taken"), (p[0] == p[3]).alias("order"), likeness(p[0], p[1]).alias("apart"), likeness(p[0], p[2]).alias("half")).first()
     assert (r["joined"], r["taken"], r["order"]) == (True, True, True)
     assert r["apart"] < 0.4 < r["half"] < 0.9
+
+
+def test_likeness_of_long_texts(spark):
+    sizes = [(12_000, 6_000), (20_000, 10_030), (4_001, 2_000)]
+    texts = [[f"line {k} of a long text" for k in range(n)] for n, _ in sizes]
+    rows = [(n, kept, brute_print("\n".join(t)), brute_print("\n".join(t[:kept]))) for t, (n, kept) in zip(texts, sizes)]
+    df = spark.createDataFrame(rows, "n long, kept long, x string, y string")
+    a, b = F.col("x"), F.col("y")
+    for r in df.select("n", "kept", likeness(a, b).alias("there"), likeness(b, a).alias("back")).collect():
+        assert abs(r["there"] - (1 - (r["n"] - r["kept"]) / (r["n"] + r["kept"]))) < 0.15
+        assert abs(r["back"] - r["there"]) < 1e-9
