@@ -22,6 +22,8 @@ from tessera.llm import textscan
 LETTER, NUMBER, OTHER, SPACE, WHITE, UNSEEN = 1, 2, 3, 4, 5, 0
 #: Distinct pre-tokens kept by a worker between batches; beyond it the store starts anew.
 KEPT = 600_000
+#: Pre-tokens encoded at once, of a text or of many; fewer than the store's slots even if all are new.
+RUN = 500_000
 
 
 @lru_cache(maxsize=2)
@@ -271,8 +273,6 @@ class Encoder:
         if self.known.size + len(new) > KEPT and self.known.size:
             self._forget()
             return self._number(hashes, data, at, ends)
-        if self.known.size + len(new) > 1_500_000:
-            raise ValueError("a batch has too many distinct pre-tokens; use smaller batches")
         where = lost[first]
         lengths = ends[where] - at[where]
         before = np.cumsum(lengths) - lengths
@@ -296,6 +296,12 @@ class Encoder:
         if not at.size:
             return np.zeros(0, np.uint16), np.zeros(len(parts) + 1, np.int64)
         ends = np.concatenate((at[1:], [data.size]))
+        runs = [self._ids(data, at[k : k + RUN], ends[k : k + RUN], special[k : k + RUN]) for k in range(0, at.size, RUN)]
+        before = np.concatenate(([0], np.cumsum(np.concatenate([count for _, count in runs]))))
+        return np.concatenate([out for out, _ in runs]), before[np.searchsorted(at, edges)]
+
+    def _ids(self, data: np.ndarray, at: np.ndarray, ends: np.ndarray, special: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of a run of pre-tokens, one after the other, and how many each has."""
         number = self._number(textscan.span_hashes(data, at, ends), data, at, ends)
         offset, count = self.offset[number], self.count[number].astype(np.int64)
         odd = np.flatnonzero(special >= 0)
@@ -304,7 +310,7 @@ class Encoder:
         source = np.repeat(offset - before[:-1], count) + np.arange(int(before[-1]))
         out = self.ids.take(source, mode="clip")
         out[before[odd]] = special[odd]
-        return out, before[np.searchsorted(at, edges)]
+        return out, count
 
 
 @lru_cache(maxsize=2)

@@ -25,14 +25,11 @@ from tessera.llm.bytelevel import Splitter, byte_symbols
 
 START, WAITING = 0, 1
 MOST_STATES = 200_000
+#: Slots for transitions at first; a run that needs more doubles them. Longer inputs are cut at pre-tokens into runs of about as many bytes.
 SLOTS = 1 << 21
 CHUNK = 512
 
-_SPREAD, _SHIFT = np.uint64(0x9E3779B97F4A7C15), np.uint64(64 - 21)
-
-
-def _slot(at: int) -> int:
-    return ((at * 0x9E3779B97F4A7C15) & 0xFFFFFFFFFFFFFFFF) >> 43
+_SPREAD = np.uint64(0x9E3779B97F4A7C15)
 
 
 def _pack(node: int, last: int, back: int) -> int:
@@ -130,9 +127,29 @@ class Transducer:
         self.keys = np.full(SLOTS, -1, np.int64)
         self.values = np.zeros(SLOTS, np.int32)
         self.filled = 0
+        self.shift = np.uint64(65 - SLOTS.bit_length())
         self._state((_pack(0, -1, 0),))
         self._state((-1,))
 
+    def _slots(self, at: np.ndarray) -> np.ndarray:
+        return ((at.astype(np.uint64) * _SPREAD) >> self.shift).astype(np.int64)
+
+    def _grow(self) -> None:
+        """Twice the slots; values become wide enough for any number of states."""
+        held = np.flatnonzero(self.keys != -1)
+        keys, values = self.keys[held], self.values[held]
+        size = 2 * len(self.keys)
+        self.keys, self.values = np.full(size, -1, np.int64), np.zeros(size, np.int64)
+        self.shift = self.shift - np.uint64(1)
+        slot, todo = self._slots(keys), np.arange(len(keys))
+        while todo.size:
+            free = self.keys[slot[todo]] == -1
+            one, at = np.unique(slot[todo[free]], return_index=True)
+            won = todo[free][at]
+            self.keys[one], self.values[one] = keys[won], values[won]
+            todo = np.setdiff1d(todo, won, assume_unique=True)
+            slot[todo] = (slot[todo] + 1) & (size - 1)
+
     def _state(self, key: tuple) -> int:
         got = self.number.get(key)
         if got is None:
@@ -160,15 +177,15 @@ class Transducer:
                 if child[nxt]:
                     grown.append((nxt << 24) | (entry & 0xFFFFFF))
             to = self._state((_pack(0, token, 0), *(e - emitted for e in grown)))
-        slot = _slot(at)
+        slot = ((at * 0x9E3779B97F4A7C15) & 0xFFFFFFFFFFFFFFFF) >> int(self.shift)
         while self.keys[slot] != -1:
-            slot = (slot + 1) & (SLOTS - 1)
+            slot = (slot + 1) & (len(self.keys) - 1)
         self.keys[slot], self.values[slot] = at, (to << 8) | (emitted + 128)
         self.filled += 1
 
     def _find(self, at: np.ndarray) -> np.ndarray:
         """Slots of transitions; those not yet built are built."""
-        slot = ((at.astype(np.uint64) * _SPREAD) >> _SHIFT).astype(np.int64)
+        slot = self._slots(at)
         key = self.keys.take(slot)
         off = np.flatnonzero(key != at)
         while off.size:
@@ -176,9 +193,9 @@ class Transducer:
             if lost.size:
                 for x in np.unique(at[lost]).tolist():
                     self._compile(x)
-                slot[lost] = ((at[lost].astype(np.uint64) * _SPREAD) >> _SHIFT).astype(np.int64)
+                slot[lost] = self._slots(at[lost])
             step = off[key[off] != -1]
-            slot[step] = (slot[step] + 1) & (SLOTS - 1)
+            slot[step] = (slot[step] + 1) & (len(self.keys) - 1)
             key[off] = self.keys.take(slot[off])
             off = off[key[off] != at[off]]
         return slot
@@ -187,6 +204,8 @@ class Transducer:
         """Lanes in lock step over `data` (steps x lanes); fresh: 0 where a pre-token begins, else 1. Returns the exit states."""
         s = entry.astype(np.int64)
         for i in range(len(data)):
+            while self.filled + len(s) > len(self.keys) // 4 * 3:  # a lane builds one transition at most
+                self._grow()
             v = self.values.take(self._find(((s * fresh[i]) << 8) | data[i]))
             values[i] = v
             s = (v >> 8).astype(np.int64)
@@ -205,7 +224,7 @@ class Transducer:
         fresh[at] = 0
         fresh[n:] = 0
         turn = lambda x: np.ascontiguousarray(x.reshape(lanes, CHUNK).T)
-        values = np.zeros((CHUNK, lanes), np.int32)
+        values = np.zeros((CHUNK, lanes), np.int32 if n <= 1 << 22 else np.int64)
         steps, flags = turn(padded), turn(fresh)
         exits = self._run(steps, flags, np.full(lanes, WAITING), values)
         values = np.ascontiguousarray(values.T)
@@ -215,7 +234,7 @@ class Transducer:
         while todo.size:  # once, but for chunks without any boundary, which wait for the one before
             ready = todo[exits[todo - 1] != WAITING]
             far = int(first[ready].max())
-            head = np.zeros((far, ready.size), np.int32)
+            head = np.zeros((far, ready.size), values.dtype)
             out = self._run(steps[:far, ready], flags[:far, ready], exits[ready - 1], head)
             inside = np.arange(far)[None, :] < first[ready][:, None]
             values[ready, :far] = np.where(inside, head.T, values[ready, :far])
@@ -225,12 +244,23 @@ class Transducer:
         values = values.ravel()[:n]
         return values >> 8, (values & 255) - 128
 
+    def _scanned(self, data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Last token of the state after each byte, and tokens emitted by each byte, in runs of pre-tokens: the table may start anew between them."""
+        cuts = np.flatnonzero(np.diff(at // SLOTS)) + 1
+        last, emits = [], []
+        for own in np.split(at, cuts):
+            end = at[np.searchsorted(at, own[-1]) + 1] if own[-1] < at[-1] else data.size
+            states, emitted = self.scan(data[own[0] : end], own - own[0])
+            last.append(self.last[states])
+            emits.append(emitted)
+        return np.concatenate(last), np.concatenate(emits)
+
     def counts(self, parts: list[bytes]) -> np.ndarray:
         """Number of tokens of each text."""
         data, edges, at, special = self.splitter.starts(parts)
         if not at.size:
             return np.zeros(len(parts), np.int64)
-        _, emits = self.scan(data, at)
+        _, emits = self._scanned(data, at)
         total = np.concatenate(([0], np.cumsum(emits, dtype=np.int64)))
         out = total[edges[1:]] - total[edges[:-1]]
         for k in np.flatnonzero(special >= 0):  # one token instead of those of its bytes
@@ -243,7 +273,7 @@ class Transducer:
         data, edges, at, special = self.splitter.starts(parts)
         if not at.size:
             return np.zeros(0, np.uint16), np.zeros(len(parts) + 1, np.int64)
-        states, emits = self.scan(data, at)
+        last, emits = self._scanned(data, at)
         total = np.concatenate(([0], np.cumsum(emits, dtype=np.int64)))
         ends = np.concatenate((at[1:], [data.size]))
         count = total[ends] - total[at]
@@ -251,7 +281,6 @@ class Transducer:
         count[odd] = 1
         before = np.concatenate(([0], np.cumsum(count)))
         out = np.empty(int(before[-1]), np.uint16)
-        last = self.last
         # from the last byte of each pre-token back: the state's last token, then the state before it
         place, slot, low = ends - 1, before[1:] - 1, at
         if odd.size:
@@ -259,7 +288,7 @@ class Transducer:
             out[before[odd]] = special[odd]
             place, slot, low = place[keep], slot[keep], low[keep]
         while place.size:
-            ids = last[states[place]]
+            ids = last[place]
             out[slot] = ids
             place = place - self.length[ids]
             more = place >= low

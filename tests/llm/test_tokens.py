@@ -35,6 +35,35 @@ def test_encoder_equals_library():
     assert split(*bytelevel.encoder(PATH).encode([t.encode() for t in texts])) == library(texts)
 
 
+def new_words(n):
+    rnd = random.Random(13)
+    return " ".join("".join(rnd.choice("abcdefghijklmnopqrstuvwxyzé") for _ in range(rnd.randint(3, 9))) + f"{k:x}" for k in range(n))
+
+
+def test_encoder_of_a_long_text():
+    text = " ".join(np.base_repr(k, 36) for k in range(36**4, 36**4 + 10)) + "".join(" " + chr(0x4E00 + k // 20_000) + chr(0x4E00 + k % 20_000) for k in range(1_510_000))
+    ids, at = bytelevel.Encoder(PATH).encode([text.encode()])
+    assert at.tolist() == [0, len(ids)]
+    cut = len(text) // 2 // 3 * 3
+    cut = text.index(" ", cut)
+    assert ids.tolist() == sum(split(*bytelevel.Encoder(PATH).encode([text[:cut].encode(), text[cut:].encode()])), [])
+
+
+def test_encoder_in_runs(monkeypatch):
+    monkeypatch.setattr(bytelevel, "RUN", 150)
+    monkeypatch.setattr(bytelevel, "KEPT", 200)
+    texts = [*odd_texts(600), new_words(900)]
+    assert split(*bytelevel.Encoder(PATH).encode([t.encode() for t in texts])) == library(texts)
+
+
+def test_transducer_of_a_long_text(monkeypatch):
+    monkeypatch.setattr("tessera.llm.transducer.SLOTS", 1 << 12)
+    t, texts = Transducer(PATH), ["a b", new_words(3000), "", new_words(3000).replace(" ", ""), *odd_texts(100)]
+    parts, want = [x.encode() for x in texts], library(texts)
+    assert t.counts(parts).tolist() == [len(x) for x in want]
+    assert split(*t.encode(parts)) == want
+
+
 def test_encoder_forgets(monkeypatch):
     monkeypatch.setattr(bytelevel, "KEPT", 200)
     e, texts = bytelevel.Encoder(PATH), odd_texts(600)
