@@ -659,7 +659,8 @@ def _(spark, sf):
 
 # ---- training and evaluation --------------------------------------------------------------
 
-SMALL = M.TreeSettings(rounds=5, depth=4, folds=3, least=5)
+#: What the queries train with, and a small stand-in for unit tests.
+TREES, SMALL = M.TreeSettings(), M.TreeSettings(rounds=5, depth=4, folds=3, least=5)
 
 
 @query("M1", BASE + _MULTI + ", b AS (SELECT s1_id, target_id FROM f UNION SELECT s1_id, target_id FROM g UNION SELECT s1_id, target_id FROM two UNION SELECT a.entity_id, b.entity_id FROM s1 a JOIN t b USING (business_name) WHERE business_name <> '' UNION SELECT s1_id, target_id FROM truth) SELECT s1_id, target_id, CASE WHEN (s1_id, target_id) IN (SELECT (s1_id, target_id) FROM truth) THEN 1 ELSE 0 END AS label FROM b")
@@ -680,26 +681,30 @@ def _(spark, sf):
     return E.sweep(scored(spark, sf), truth(spark, sf)).select("threshold", F.round("macro_f05", 9).alias("macro_f05"))
 
 
-def _trained(spark, sf):
+def _labelled(spark, sf):
     s1, t = sides(spark, sf)
-    features = E.label_pairs(FE.feature_matrix(pairs(spark, sf), s1, t), truth(spark, sf)).persist()
-    return features, M.MatchModel(M.fit(features, SMALL))
+    return E.label_pairs(FE.feature_matrix(pairs(spark, sf), s1, t), truth(spark, sf)).persist()
+
+
+def _trained(spark, sf, settings=SMALL):
+    features = _labelled(spark, sf)
+    return features, M.MatchModel(M.fit(features, settings))
 
 
 @query("M4")
 def _(spark, sf):
-    features, model = _trained(spark, sf)
+    features, model = _trained(spark, sf, TREES)
     return model.probabilities(features).select("s1_id", "target_id", "probability")
 
 
 @query("M5")
 def _(spark, sf):
-    return M.out_of_fold(_trained(spark, sf)[0], SMALL)
+    return M.out_of_fold(_labelled(spark, sf), TREES)
 
 
 def _stored(spark, sf):
     at = scratch(spark)
-    M.MatchModel(_trained(spark, sf)[1].model, 0.5).save(at)
+    M.MatchModel(_trained(spark, sf, TREES)[1].model, 0.5).save(at)
     return M.MatchModel.load(at)
 
 
@@ -718,12 +723,12 @@ SPARK["I10"] = SPARK["K5"] = SPARK["M7"]
 
 @query("M9")
 def _(spark, sf):
-    return PL.evaluate(*sides(spark, sf), truth(spark, sf), _trained(spark, sf)[1])
+    return PL.evaluate(*sides(spark, sf), truth(spark, sf), _trained(spark, sf, TREES)[1])
 
 
 @query("A12")
 def _(spark, sf):
-    return _trained(spark, sf)[1].importances()
+    return _trained(spark, sf, TREES)[1].importances()
 
 
 SPARK["R4"] = SPARK["A12"]

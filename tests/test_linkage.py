@@ -147,6 +147,20 @@ def test_against_sql(spark, name):
     assert sorted([tuple(r[c] for c in columns) for r in found.collect()], key=str) == sorted([tuple(r[k] for k in at) for r in want.fetchall()], key=str)
 
 
+@pytest.mark.parametrize("name", ["M4", "M5", "M7", "M8", "M9", "A12", "R4", "I10", "K5"])
+def test_queries_train_with_the_defaults(spark, monkeypatch, name):
+    class Seen(Exception):
+        pass
+
+    def seen(features, settings):
+        raise Seen(settings)
+
+    monkeypatch.setattr("tessera.plans.model.fit", seen)
+    with pytest.raises(Seen) as found:
+        entry.queries()[name](spark, SMALL)
+    assert found.value.args[0] == M.TreeSettings()
+
+
 def test_entry(spark):
     assert entry.entry(spark).count() > 0
 
