@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
+import re
+import shutil
 import tempfile
 
 import pyarrow as pa
@@ -16,13 +19,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: `spark.checkpoint.dir`; one of our own only where that is unset."""
+    """The folder that driver and executors share: `spark.checkpoint.dir`. Where that is unset, one of our own if all run in this process, else an error."""
     context = spark.sparkContext
     held = context.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
     if not held:
         held = context.getCheckpointDir()
         if not held:
+            if not re.fullmatch(r"local(\[.*\])?", context.master):
+                raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
             held = tempfile.mkdtemp(prefix="tessera-")
+            atexit.register(shutil.rmtree, held, ignore_errors=True)
     if not context.getCheckpointDir():
         context.setCheckpointDir(held)
     return held
@@ -34,6 +40,20 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """The name, or one made of it, that no column of df has, in whatever case."""
+    taken = {c.lower() for c in df.columns}
+    while name in taken:
+        name += "_"
+    return name
+
+
+def drop_folder(spark: SparkSession, folder: str) -> None:
+    """Delete a folder with Spark's own file systems."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 #: Rows of a narrow table (an id, a hash, a few words) that are sent to all executors instead of shuffling texts to them.
 BROADCAST_ROWS = 500_000
 

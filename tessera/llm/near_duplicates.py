@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.llm import textscan
-from tessera.llm.common import beside_texts, checkpointed, over_texts
+from tessera.llm.common import BROADCAST_ROWS, beside_texts, checkpointed, free_name, over_texts
 from tessera.llm.components import components
 
 #: Words of a shingle; bands and rows of a band. A pair of Jaccard similarity 0.75 shares no band once in 50,000.
@@ -17,8 +17,12 @@ COORDINATES = BANDS * ROWS
 #: Bits of a sketch, one of each of further coordinates, and how many standard deviations a pair of the
 #: similarity asked for may lie off before it isn't compared on full sets: once in 3 million.
 BITS, DEVIATIONS = 1024, 5.0
+#: Bits of the sketch of nodes that are compared with all of a bucket. It tells 0.70 from 0.75, where the short one begins at 0.65.
+FINE_BITS = 4096
 #: Rounds in which each node meets one node of each of its buckets, before buckets still open are compared in full.
-ROUNDS = 2
+ROUNDS = 3
+#: Rows with the same words from which on their group's name is sent to the rows instead of shuffling them to it.
+HOT_ROWS = 100_000
 
 
 def circulant_minhash(shingles: np.ndarray, out: np.ndarray, first: int = 0) -> None:
@@ -92,25 +96,46 @@ def _signed(rest, parts):
     return {"doc_id": rest.column(0), "mark": rest.column(1), "key": s.keys(), "n_shingles": pa.array(n), "bands": pa.array(bands, pa.list_(pa.int64()))}
 
 
+def sketches(sets: list[np.ndarray], bits: int, first: int) -> pa.Array:
+    """A bit of each of `bits` coordinates of each set's signature, from shift `first` on."""
+    out = np.zeros((len(sets), bits // 64), np.int64)
+    signature = np.zeros(bits, np.uint32)
+    for k, own in enumerate(sets):
+        circulant_minhash(own.view(np.uint64), signature, first)
+        out[k] = np.packbits((signature * np.uint32(0x9E3779B1)) >> np.uint32(31)).view(np.int64)
+    return pa.array(list(out), pa.list_(pa.int64()))
+
+
 def _sets(rest, parts):
     s = Shingled(parts)
-    sets, signature = [], np.zeros((len(parts), BITS), np.uint32)
-    for k in range(len(parts)):
-        own = s.shingles(k)
-        if len(own):
-            circulant_minhash(own, signature[k], COORDINATES)
-        sets.append(own.view(np.int64))
-    bits = np.packbits((signature * np.uint32(0x9E3779B1)) >> np.uint32(31), axis=1).view(np.int64)
-    return {"key": s.keys(), "shingles": pa.array(sets, pa.list_(pa.int64())), "sketch": pa.array(list(bits), pa.list_(pa.int64()))}
+    sets = [s.shingles(k).view(np.int64) for k in range(len(parts))]
+    return {"key": s.keys(), "shingles": pa.array(sets, pa.list_(pa.int64())), "sketch": sketches(sets, BITS, COORDINATES)}
 
 
-def _near(x: str, y: str, percent: int):
-    """Whether two nodes can be similar, by their sets' sizes and their sketches: bits agree as often as half of 1 + Jaccard."""
+def _fine(batches):
+    """(key, fine) of nodes with their full sets."""
+    for batch in batches:
+        sets = [x.values.to_numpy() for x in batch.column("shingles")]
+        yield pa.RecordBatch.from_arrays([batch.column("key"), sketches(sets, FINE_BITS, COORDINATES + BITS)], names=["key", "fine"])
+
+
+def _apart(x: str, y: str, column: str, bits: int, percent: int):
+    """Whether two sketches' bits differ no oftener than the similarity asked for allows: they agree as often as half of 1 + Jaccard."""
     agree = (1 + percent / 100) / 2
-    most = BITS * (1 - agree) + DEVIATIONS * (BITS * agree * (1 - agree)) ** 0.5
+    most = bits * (1 - agree) + DEVIATIONS * (bits * agree * (1 - agree)) ** 0.5
+    differ = lambda a, b: F.bit_count(a.bitwiseXOR(b))
+    a, b = F.col(f"{x}.{column}"), F.col(f"{y}.{column}")
+    if bits <= BITS:
+        apart = sum((differ(a[k], b[k]) for k in range(bits // 64)), F.lit(0))
+    else:  # as generated code it would be too long for the JVM to compile; it runs only where the short sketches agree
+        apart = F.aggregate(F.zip_with(a, b, differ), F.lit(0), lambda t, n: t + n)
+    return apart <= int(most)
+
+
+def _near(x: str, y: str, percent: int):
+    """Whether two nodes can be similar, by their sets' sizes and their sketches."""
     sizes = 100 * F.least(f"{x}.n", f"{y}.n") >= percent * F.greatest(f"{x}.n", f"{y}.n")
-    apart = sum((F.bit_count(F.col(f"{x}.sketch")[k].bitwiseXOR(F.col(f"{y}.sketch")[k])) for k in range(BITS // 64)), F.lit(0))
-    return sizes & (apart <= int(most))
+    return sizes & _apart(x, y, "sketch", BITS, percent)
 
 
 def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -141,23 +166,44 @@ def _linked(members: DataFrame, sets: DataFrame, bands: DataFrame, percent: int)
     """(node, root) of the graph of all similar pairs that share a bucket."""
     links = labels = None
     for k in range(ROUNDS):
-        placed = _placed(members, labels).alias("x")
+        placed = _placed(members, labels)
         opened = _open(placed, k)
-        found = placed.join(opened, (F.col("x.band") == F.col("open_band")) & (F.col("x.root") != F.col("y.root")) & _near("x", "y", percent))
+        # buckets of one component are done; of the others, the round's node has met all once they have met it
+        met = checkpointed(placed.join(opened, F.col("band") == F.col("open_band")).drop("open_band"))
+        found = met.alias("x").where((F.col("x.root") != F.col("y.root")) & _near("x", "y", percent))
         fresh = checkpointed(_confirmed(_pairs(found), sets, percent))
         links = fresh if links is None else links.unionByName(fresh)
         labels = checkpointed(components(links))
-    placed = checkpointed(_placed(members, labels))
+        members = met.where(F.col("key") != F.col("y.key")).drop("y", "root")
+    placed = _placed(members, labels)
     opened = checkpointed(_open(placed, ROUNDS).select("open_band", F.col("y.root").alias("main")))
-    rest = placed.join(opened, F.col("band") == F.col("open_band")).join(bands, "key")
+    left = checkpointed(placed.join(opened, F.col("band") == F.col("open_band")))
+    known = sets.select("key", "shingles").join(left.select("key").distinct(), "key", "left_semi").mapInArrow(_fine, "key binary, fine array<long>")
+    rest = checkpointed(left.join(known, "key").join(bands, "key"))
     # every node outside the bucket's main component against all of the bucket's other components
     x, y = rest.where("root <> main").alias("x"), rest.alias("y")
     # a pair comes out of the first bucket that it shares only
     once = F.element_at(F.array_intersect("x.bands", "y.bands"), 1) == F.col("x.band")
-    across = x.join(y, (F.col("x.band") == F.col("y.band")) & (F.col("x.root") != F.col("y.root")) & _near("x", "y", percent) & once)
+    across = x.join(y, (F.col("x.band") == F.col("y.band")) & (F.col("x.root") != F.col("y.root")) & _near("x", "y", percent) & _apart("x", "y", "fine", FINE_BITS, percent) & once)
     return components(links.unionByName(_confirmed(_pairs(across), sets, percent)))
 
 
+def _named(rows: DataFrame, groups: DataFrame) -> DataFrame:
+    """Rows (doc_id, key, n_shingles) with `component_id` of groups (key, n, component_id), their own id where their key has none.
+
+    Few groups go to the rows. Of many, those of `HOT_ROWS` rows and more do, and there can't be more of them
+    than rows by that number; the others' rows, none of a key with so many, are shuffled to their groups.
+    """
+    groups = checkpointed(groups)
+    out = F.coalesce("component_id", "doc_id").alias("component_id")
+    if groups.count() <= BROADCAST_ROWS:
+        return rows.join(F.broadcast(groups.drop("n")), "key", "left").select("doc_id", "n_shingles", out)
+    hot = groups.where(F.col("n") >= HOT_ROWS).drop("n")
+    some = rows.join(F.broadcast(hot), "key").select("doc_id", "n_shingles", "component_id")
+    rest = rows.join(F.broadcast(hot.select("key")), "key", "left_anti").join(groups.where(F.col("n") < HOT_ROWS).drop("n"), "key", "left")
+    return some.unionByName(rest.select("doc_id", "n_shingles", out))
+
+
 def near_duplicates(docs: DataFrame, percent: int = 75) -> DataFrame:
     """Groups of documents linked by a Jaccard similarity of `percent` or more of their word shingles.
 
@@ -167,12 +213,15 @@ def near_duplicates(docs: DataFrame, percent: int = 75) -> DataFrame:
     an empty table gives no rows; a null id is smaller than none: a group's id is its least non-null one.
     Further columns are not read.
 
+    A text of any length is one set, held by one task.
+
     Equal word sequences are one node, so copies never make pairs. In each of a few rounds every node of
-    a bucket that holds several components so far is held against one node of it, another in each round,
-    so a large group of near copies costs a comparison a member and bucket, and falls together. In buckets
-    still open, every node outside the main component is then held against all nodes of other components:
-    each pair that shares a band is compared or already joined. Sizes and sketches rule out pairs within
-    the join; the others are compared on full sets, which are built for nodes that share a band only.
+    a bucket that holds several components so far is held against one node of it, which then leaves the
+    bucket; a bucket of one component is done. So a large group of near copies costs a comparison a member
+    and bucket, and falls together. In buckets still open, every node outside the main component is then
+    held against all nodes of other components: each pair that shares a band is compared or already joined.
+    Sizes and sketches, longer ones in that last step, rule out pairs within the join; the others are
+    compared on full sets, which are built for nodes that share a band only.
     """
     text = F.coalesce(F.col("text"), F.lit(""))
     mark = F.xxhash64(text)
@@ -180,7 +229,7 @@ def near_duplicates(docs: DataFrame, percent: int = 75) -> DataFrame:
     source = docs.select("doc_id", mark.alias("mark"), "text")
     rows = checkpointed(over_texts(source, f"doc_id {kind}, mark long, key binary, n_shingles long, bands array<long>", _signed))
     nodes = checkpointed(
-        rows.where("n_shingles > 0").groupBy("key").agg(F.min("doc_id").alias("rep"), F.min(F.struct("doc_id", "mark")).alias("least"), F.first("bands", ignorenulls=True).alias("bands"))
+        rows.where("n_shingles > 0").groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("doc_id").alias("rep"), F.min(F.struct("doc_id", "mark")).alias("least"), F.first("bands", ignorenulls=True).alias("bands"))
     )
     banded = nodes.select("key", F.explode("bands").alias("band"))
     shared = checkpointed(banded.groupBy("band").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("band"))
@@ -190,10 +239,11 @@ def near_duplicates(docs: DataFrame, percent: int = 75) -> DataFrame:
     sets = checkpointed(over_texts(wanted.select("text"), "key binary, shingles array<long>, sketch array<long>", _sets).dropDuplicates(["key"]))
     sketched = checkpointed(members.join(sets.select("key", F.size("shingles").alias("n"), "sketch"), "key"))
     labels = _linked(sketched, sets, nodes.select("key", "bands"), percent)
-    grouped = nodes.select("key", "rep").join(labels.withColumnRenamed("node", "key"), "key", "left").select("key", "rep", F.coalesce("root", "key").alias("root"))
-    ids = grouped.groupBy("root").agg(F.min("rep").alias("component_id"))
-    named = grouped.join(ids, "root").select("key", "component_id")
-    linked = rows.where("n_shingles > 0").select("doc_id", "key", "n_shingles").join(named, "key").select("doc_id", "n_shingles", "component_id")
+    placed = nodes.select("key", "n", "rep").join(labels.withColumnRenamed("node", "key"), "key")
+    ids = placed.groupBy("root").agg(F.min("rep").alias("component_id"))
+    joined = placed.join(beside_texts(ids), "root").select("key", "n", "component_id")
+    copies = nodes.where("n > 1").join(labels, F.col("key") == F.col("node"), "left_anti").select("key", "n", F.col("rep").alias("component_id"))
+    linked = _named(rows.where("n_shingles > 0").select("doc_id", "key", "n_shingles"), joined.unionByName(copies))
     alone = rows.where("n_shingles = 0").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
     return linked.unionByName(alone).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 
@@ -201,7 +251,8 @@ def near_duplicates(docs: DataFrame, percent: int = 75) -> DataFrame:
 def deduplicated(docs: DataFrame, percent: int = 75) -> DataFrame:
     """The documents, all their columns, that are the least id of their group; see `near_duplicates`. Rows that share both the id and the group stay together."""
     found = checkpointed(near_duplicates(docs, percent).select("doc_id", "kept"))
-    kept = found.where("kept").select(F.col("doc_id").alias("_kept_id")).distinct()
-    gone = found.where("not kept").select(F.col("doc_id").alias("_gone_id")).distinct()
-    gone = gone.join(kept, F.col("_gone_id").eqNullSafe(F.col("_kept_id")), "left_anti")
-    return docs.join(beside_texts(gone), F.col("doc_id").eqNullSafe(F.col("_gone_id")), "left_anti")
+    name = free_name(docs, "gone")
+    kept = found.where("kept").select("doc_id").distinct().withColumnRenamed("doc_id", "stays")
+    gone = found.where("not kept").select(F.col("doc_id").alias(name)).distinct()
+    gone = gone.join(kept, F.col(name).eqNullSafe(F.col("stays")), "left_anti")
+    return docs.join(beside_texts(gone), F.col("doc_id").eqNullSafe(F.col(name)), "left_anti")
