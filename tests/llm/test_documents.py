@@ -15,7 +15,7 @@ from tessera.llm.language import Words, identify
 from tessera.llm.near_duplicates import deduplicated, near_duplicates
 from tessera.llm.secrets import redacted, secret_report, trigram_query
 from tessera.llm.sharding import difference, leaves, shard_by_bytes
-from tessera.llm.toxicity import Settings, toxicity, without_toxic
+from tessera.llm.toxicity import FactorizationMachine, Settings, toxicity, without_toxic
 
 SCHEMA = "doc_id long, text string, lang string, kept string, bands string"
 
@@ -190,20 +190,60 @@ def test_toxicity(spark):
         labels.append((k, int(toxic)))
     docs += [(5000, None), (5001, ""), (None, "zorgh w1"), (7, "again")]
     known = spark.createDataFrame([*labels, (8000, 1), (None, 1), (3, None)], "doc_id long, toxic int")
-    got = toxicity(frame(spark, docs), known, Settings(sparse=4.0)).collect()
+    got = toxicity(frame(spark, docs), known, Settings()).collect()
     assert len(got) == len(docs)
     truth = dict(labels)
     held = [r for r in got if r["held_out"] and r["doc_id"] in truth and r["doc_id"] != 7]
     assert all(r["held_out"] == (zlib.crc32(str(r["doc_id"]).encode()) % 5 == 0) for r in got if r["doc_id"] is not None)
     assert sum(r["predicted"] == truth[r["doc_id"]] for r in held) >= 0.97 * len(held)
     assert all(0 <= r["score"] <= 1 and r["predicted"] == int(r["score"] >= 0.5) for r in got)
-    clean = without_toxic(frame(spark, docs), known, Settings(sparse=4.0))
+    clean = without_toxic(frame(spark, docs), known, Settings())
     assert clean.columns == ["doc_id", "text", "lang", "kept", "bands"]
     assert clean.count() == sum(r["predicted"] == 0 for r in got)
     assert toxicity(frame(spark, []), known).count() == 0
     assert {r["predicted"] for r in toxicity(frame(spark, docs[:5]), known.where("toxic = 0")).collect()} == {0}
 
 
+def naive_raw(b, w, v, terms):
+    return b + sum(float(w[i]) for i in terms) + sum(float(v[i].astype(float) @ v[j].astype(float)) for k, i in enumerate(terms) for j in terms[k + 1 :])
+
+
+def test_toxicity_is_the_double_sum():
+    rng = np.random.default_rng(1)
+    machine = FactorizationMachine(Settings(bits=8))
+    machine.b, machine.w, machine.v = 0.3, rng.normal(0, 1, 256).astype(np.float32), rng.normal(0, 1, (256, 4)).astype(np.float32)
+    machine.w[::3], machine.v[::4] = 0, 0
+    texts = [sorted(rng.choice(256, n, replace=False).tolist()) for n in (0, 1, 2, 30, 200)]
+    at = np.concatenate(([0], np.cumsum([len(t) for t in texts])))
+    got = machine.raw(np.concatenate([np.array(t, np.int64) for t in texts]), at)
+    assert np.allclose(got, [naive_raw(machine.b, machine.w, machine.v, t) for t in texts])
+
+
+@pytest.mark.parametrize("both", [True, False])
+def test_toxicity_of_pairs_alone(spark, both):
+    """Two words, each of which tells nothing: toxic is who has both (or neither), or who has one of a kind with one of another."""
+    rnd, docs, labels = random.Random(3), [], []
+    for k in range(4000):
+        words = [f"w{rnd.randrange(300)}" for _ in range(rnd.randrange(5, 40))]
+        share = 0.5 if both else 0.4
+        a, b = rnd.random() < share, rnd.random() < share
+        words = ([rnd.choice(["zorgh", "zorgh" if both else "blarg"])] if a else []) + words + ([rnd.choice(["plebs", "plebs" if both else "grups"])] if b else [])
+        docs.append((k, " ".join(words)))
+        labels.append((k, int(a == b if both else a and b)))
+    got = toxicity(frame(spark, docs), spark.createDataFrame(labels, "doc_id long, toxic int")).where("held_out").collect()
+    assert sum(r["predicted"] == labels[r["doc_id"]][1] for r in got) >= 0.97 * len(got)
+
+
+def test_toxicity_of_long_and_repeated_texts(spark):
+    rnd = random.Random(8)
+    docs = [(k, prose(rnd, 40) + (" zorgh" if k % 3 == 0 else "")) for k in range(900)]
+    known = spark.createDataFrame([(k, int(k % 3 == 0)) for k in range(900)] + [(7000, 1)], "doc_id long, toxic int")
+    long_ = [(5000, prose(rnd, 300_000, 3000)), (5001, prose(rnd, 300_000, 3000) + " zorgh"), (7000, "zorgh " + prose(rnd, 9000))]
+    got = {r["doc_id"]: r["predicted"] for r in toxicity(frame(spark, [*docs, *[docs[0]] * 50, *long_]), known).collect()}
+    assert all(got[k] == int(k % 3 == 0) for k in range(900))
+    assert got[5001] >= got[5000]
+
+
 # ---- language
 
 WORDS = {"en": "the of and that with from which their would there people about".split(), "de": "der die und nicht auch über werden einer schön können großes möglich".split(), "fr": "les des une avec être été français même où très élève garçon".split(), "ru": "это как что для был они когда после можно время".split()}
