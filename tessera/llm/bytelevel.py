@@ -22,6 +22,8 @@ from tessera.llm import textscan
 LETTER, NUMBER, OTHER, SPACE, WHITE, UNSEEN = 1, 2, 3, 4, 5, 0
 #: Distinct pre-tokens kept by a worker between batches; beyond it the store starts anew.
 KEPT = 600_000
+#: Bytes of a pre-token beyond which the library itself merges it, in time that grows about as its length.
+LONG = 128
 #: Pre-tokens encoded at once, of a text or of many; fewer than the store's slots even if all are new.
 RUN = 500_000
 
@@ -76,6 +78,10 @@ class Splitter:
             return OTHER
         return WHITE
 
+    def whole(self, pieces: list[bytes]) -> list[list[int]]:
+        """Ids of pre-tokens by the library."""
+        return [x.ids for x in self.tokenizer.encode_batch([p.decode() for p in pieces], add_special_tokens=False)]
+
     def _learn(self, codes: np.ndarray) -> None:
         for c in codes:
             self.classes[c] = self._ask(int(c))
@@ -277,7 +283,7 @@ class Encoder:
         lengths = ends[where] - at[where]
         before = np.cumsum(lengths) - lengths
         flat = data[np.arange(int(lengths.sum())) + np.repeat(at[where] - before, lengths)]
-        ids, count = self.merges.run(flat, lengths)
+        ids, count = self._merged(flat, lengths)
         base = self.known.size
         while base + len(new) > len(self.offset):
             self.offset, self.count = (np.concatenate((x, np.zeros_like(x))) for x in (self.offset, self.count))
@@ -290,6 +296,20 @@ class Encoder:
         self.known.put(new, np.arange(base, base + len(new), dtype=np.int32))
         return self.known.get(hashes)
 
+    def _merged(self, flat: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of pre-tokens that lie one after the other, and how many each has."""
+        long_ = lengths > LONG
+        if not long_.any():
+            return self.merges.run(flat, lengths)
+        end = np.cumsum(lengths)
+        ids, count = self.merges.run(flat[np.repeat(~long_, lengths)], lengths[~long_])
+        got = self.splitter.whole([flat[a:b].tobytes() for a, b in zip((end - lengths)[long_].tolist(), end[long_].tolist())])
+        both = np.zeros(len(lengths), np.int64)
+        both[~long_], both[long_] = count, [len(x) for x in got]
+        out, short = np.empty(int(both.sum()), np.uint16), np.repeat(~long_, both)
+        out[short], out[~short] = ids, np.concatenate([np.array(x, np.uint16) for x in got])
+        return out, both
+
     def encode(self, parts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts, one after the other, and the place where each text's begin (with the end appended)."""
         data, edges, at, special = self.splitter.starts(parts)

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import unicodedata
 from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -12,9 +14,24 @@ from pyspark.sql import functions as F
 from tessera.llm import textscan
 from tessera.llm.common import fold, over_texts
 
-# First code points of Unicode blocks, and the script of what follows. 1 is Latin, 0 no letters.
-_SCRIPT_STARTS = np.array([0, 0x41, 0x5B, 0x61, 0x7B, 0xAA, 0xAB, 0xB5, 0xB6, 0xBA, 0xBB, 0xC0, 0xD7, 0xD8, 0xF7, 0xF8, 0x250, 0x370, 0x400, 0x530, 0x590, 0x600, 0x60C, 0x60D, 0x61B, 0x61C, 0x61F, 0x620, 0x6D4, 0x6D5, 0x700, 0x900, 0x964, 0x966, 0x980, 0xA00, 0xB80, 0xC00, 0xE00, 0xE80, 0xF00, 0x1000, 0x10A0, 0x1100, 0x1200, 0x1400, 0x1780, 0x1800, 0x1E00, 0x1F00, 0x2000, 0x2C60, 0x2C80, 0x2E00, 0x2E80, 0x3000, 0x3005, 0x3008, 0x3021, 0x302A, 0x3031, 0x3036, 0x3038, 0x303D, 0x3040, 0x30FB, 0x30FC, 0x3100, 0x3400, 0xA000, 0xAC00, 0xD7B0, 0xFE10, 0xFE70, 0xFF00, 0xFF21, 0xFF3B, 0xFF41, 0xFF5B, 0xFF66, 0xFFA0, 0xFFDD, 0x20000, 0x2FA20])
-_SCRIPTS = np.array([0, 1, 0, 1, 0, 1, 0, 1, 0, 1, 0, 1, 0, 1, 0, 1, 1, 2, 3, 4, 5, 6, 0, 6, 0, 6, 0, 6, 0, 6, 7, 8, 0, 8, 9, 10, 11, 12, 13, 14, 15, 16, 17, 18, 19, 20, 21, 22, 1, 2, 0, 1, 20, 0, 20, 0, 25, 0, 25, 0, 23, 0, 25, 0, 23, 0, 23, 24, 25, 20, 18, 20, 0, 6, 0, 1, 0, 1, 0, 23, 18, 0, 25, 0], np.uint8)
+#: Numbers of scripts, and that of combining marks, which go with the letter before them.
+SCRIPTS, MARK = 1024, 1023
+
+
+@lru_cache(maxsize=1)
+def script_table() -> np.ndarray:
+    """The script of each code point, by the first word of its letters' Unicode names; 0 for what is neither letter nor mark."""
+    table, numbers = np.zeros(0x110000, np.uint16), {}
+    for code in (*range(0x40000), *range(0xE0000, 0xE0200)):
+        kind = unicodedata.category(chr(code))[0]
+        if kind == "M":
+            table[code] = MARK
+        elif kind == "L":
+            words = unicodedata.name(chr(code), "LETTER").split(" ")
+            name = words[1 if words[0] in ("FULLWIDTH", "HALFWIDTH") and len(words) > 1 else 0].split("-")[0]
+            table[code] = numbers.setdefault(name, len(numbers) + 1)
+    return table
+
 
 #: Bytes of a run of letters that are one word; a longer run is cut into pieces of about as many, which are words each.
 PIECE = 40
@@ -50,28 +67,38 @@ def pieces(data: np.ndarray, begins: np.ndarray, stops: np.ndarray):
 class Words:
     """Words of texts; the distinct ones with their script and n-grams.
 
-    A word is a run of letters. Runs of over `PIECE` bytes, as in scripts without spaces, are cut between
-    characters into words that all count; the n-grams that begin in one reach into the next.
+    A word is a run of letters of one script, marks on them included. Runs of over `PIECE` bytes, as in scripts without
+    spaces, are cut between characters into words that all count; the n-grams that begin in one reach into the next.
     """
 
     def __init__(self, parts: list[bytes], bits: int):
         data, begin, _ = textscan.joined(parts)
         data = textscan.lower_ascii(data)
-        script = ((data >= 0x61) & (data < 0x7B)).astype(np.uint8)
+        table = script_table()
+        script = table[data & 0x7F] * (data < 0x80)
         for low, high, size, mask in ((0xC0, 0xE0, 2, 0x1F), (0xE0, 0xF0, 3, 0x0F), (0xF0, 0xF8, 4, 0x07)):
             lead = np.flatnonzero((data >= low) & (data < high))
             if lead.size:
                 code = (data[lead] & mask).astype(np.int64)
                 for k in range(1, size):
                     code = (code << 6) | (data[lead + k] & 0x3F)
-                found = _SCRIPTS[np.searchsorted(_SCRIPT_STARTS, code, "right") - 1]
+                found = table[code]
                 for k in range(size):
                     script[lead + k] = found
-        begins, stops = textscan.runs(script > 0)
+        mark = script == MARK
+        letter = np.cumsum((script > 0) & ~mark & ((data & 0xC0) != 0x80))
+        if mark.any():  # the script of what they stand on, none where that is no letter
+            mark[0] = False
+            script[0] = script[0] if script[0] != MARK else 0
+            script = script[np.maximum.accumulate(np.where(mark, 0, np.arange(data.size)))]
+        edges = np.concatenate(([0], np.flatnonzero(script[1:] != script[:-1]) + 1, [data.size]))
+        solid = script[edges[:-1]] > 0
+        begins, stops = edges[:-1][solid], edges[1:][solid]
         starts, ends, first, last, stop = pieces(data, begins, stops)
-        kind = np.maximum.reduceat(script, starts) if len(starts) else np.zeros(0, np.uint8)
+        kind = script[starts]
         self.first = np.concatenate((np.searchsorted(starts, begin), [len(starts)]))
-        self.letters = ends - starts
+        letter = np.concatenate(([0], letter))
+        self.letters = letter[ends] - letter[starts]
         # n-grams begin in the word, and at the white space before a run; a run's neighbours are taken as white space
         reach = np.where(last, stop + 1, np.minimum(ends + 3, stop + 1))
         hashes = textscan.span_hashes(data, starts, ends)
@@ -199,7 +226,7 @@ def learnt(docs: DataFrame, settings: Settings) -> Model:
         rate = F.element_at(F.create_map(*[F.lit(x) for name in names for x in (name, max(1, min(1_000_000, int(1e6 * s.sample / counts[name]))))]), F.col("lang"))
         parts = known.where((F.pmod(F.xxhash64("key", F.xxhash64("text")), F.lit(1_000_000)) < rate) & (F.octet_length("text") <= s.sample_bytes)).select("lang", "text")
     size = 1 << s.bits
-    table, scripts = np.full((size, max(1, len(names))), s.smooth), np.zeros((max(1, len(names)), 256))
+    table, scripts = np.full((size, max(1, len(names))), s.smooth), np.zeros((max(1, len(names)), SCRIPTS))
     if parts is not None:
 
         def work(rest, texts):
@@ -211,7 +238,7 @@ def learnt(docs: DataFrame, settings: Settings) -> Model:
                     continue
                 times = np.bincount(words.back, minlength=len(words.script))
                 grams = np.bincount(words.grams, times[words.owner], size)
-                kinds = np.bincount(words.script, times, 256)
+                kinds = np.bincount(words.script, times, SCRIPTS)
                 both = np.concatenate((grams, kinds)).astype(np.int64)
                 at = np.flatnonzero(both)
                 out["lang"] += [lang] * len(at)
@@ -241,7 +268,8 @@ def identify(docs: DataFrame, settings: Settings | None = None, folds: int = 3,
 
     Learns from rows with text and lang whose crc32(doc_id as text) modulo `folds` is not `held`. lang_pred
     is the label with most letters along the best path, score its share of the letters, spans the number
-    of runs of one label. Null texts and such without a letter are `und` with score 0. Repeated rows give
+    of runs of one label. Letters are the code points of Unicode's letter categories. Null texts and such without a
+    letter are `und` with score 0. A text of any length is read whole. Repeated rows give
     a row each; an empty table gives none; without any labelled row all are `und`. Documents are not shuffled.
     """
     settings = settings or Settings()

@@ -17,8 +17,8 @@ COORDINATES = BANDS * ROWS
 #: Bits of a sketch, one of each of further coordinates, and how many standard deviations a pair of the
 #: similarity asked for may lie off before it isn't compared on full sets: once in 3 million.
 BITS, DEVIATIONS = 1024, 5.0
-#: Bits of the sketch of nodes that are compared with all of a bucket. It tells 0.70 from 0.75, where the short one begins at 0.65.
-FINE_BITS = 4096
+#: Further bits of the sketch of nodes that are compared with all of a bucket. Both tell 0.68 from 0.75, where the first alone begin at 0.65.
+FINE_BITS = 1024
 #: Rounds in which each node meets one node of each of its buckets, before buckets still open are compared in full.
 ROUNDS = 3
 #: Rows with the same words from which on their group's name is sent to the rows instead of shuffling them to it.
@@ -119,23 +119,29 @@ def _fine(batches):
         yield pa.RecordBatch.from_arrays([batch.column("key"), sketches(sets, FINE_BITS, COORDINATES + BITS)], names=["key", "fine"])
 
 
-def _apart(x: str, y: str, column: str, bits: int, percent: int):
-    """Whether two sketches' bits differ no oftener than the similarity asked for allows: they agree as often as half of 1 + Jaccard."""
+def _most(bits: int, percent: int) -> int:
+    """Bits that sketches of two sets may differ in: those agree as often as half of 1 + Jaccard."""
     agree = (1 + percent / 100) / 2
-    most = bits * (1 - agree) + DEVIATIONS * (bits * agree * (1 - agree)) ** 0.5
-    differ = lambda a, b: F.bit_count(a.bitwiseXOR(b))
-    a, b = F.col(f"{x}.{column}"), F.col(f"{y}.{column}")
-    if bits <= BITS:
-        apart = sum((differ(a[k], b[k]) for k in range(bits // 64)), F.lit(0))
-    else:  # as generated code it would be too long for the JVM to compile; it runs only where the short sketches agree
-        apart = F.aggregate(F.zip_with(a, b, differ), F.lit(0), lambda t, n: t + n)
-    return apart <= int(most)
+    return int(bits * (1 - agree) + DEVIATIONS * (bits * agree * (1 - agree)) ** 0.5)
+
+
+def _differ(a, b):
+    return F.bit_count(a.bitwiseXOR(b))
+
+
+def _apart(x: str, y: str):
+    return sum((_differ(F.col(f"{x}.sketch")[k], F.col(f"{y}.sketch")[k]) for k in range(BITS // 64)), F.lit(0))
 
 
 def _near(x: str, y: str, percent: int):
     """Whether two nodes can be similar, by their sets' sizes and their sketches."""
-    sizes = 100 * F.least(f"{x}.n", f"{y}.n") >= percent * F.greatest(f"{x}.n", f"{y}.n")
-    return sizes & _apart(x, y, "sketch", BITS, percent)
+    return (100 * F.least(f"{x}.n", f"{y}.n") >= percent * F.greatest(f"{x}.n", f"{y}.n")) & (_apart(x, y) <= _most(BITS, percent))
+
+
+def _nearer(x: str, y: str, percent: int):
+    """The same by both sketches. As generated code it would be too long for the JVM to compile; it runs only where the first agree."""
+    more = F.aggregate(F.zip_with(F.col(f"{x}.fine"), F.col(f"{y}.fine"), _differ), F.lit(0), lambda t, n: t + n)
+    return _near(x, y, percent) & (_apart(x, y) + more <= _most(BITS + FINE_BITS, percent))
 
 
 def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -145,8 +151,8 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return both.where(100 * F.col("i") >= percent * (F.size("xa") + F.size("xb") - F.col("i"))).select("a", "b")
 
 
-def _pairs(rows: DataFrame) -> DataFrame:
-    return rows.select(F.least("x.key", "y.key").alias("a"), F.greatest("x.key", "y.key").alias("b")).distinct()
+def _pairs(rows: DataFrame, x: str, y: str) -> DataFrame:
+    return rows.select(F.least(x, y).alias("a"), F.greatest(x, y).alias("b")).distinct()
 
 
 def _placed(members: DataFrame, labels: DataFrame | None) -> DataFrame:
@@ -162,30 +168,31 @@ def _open(placed: DataFrame, round_: int) -> DataFrame:
     return placed.groupBy("band").agg(lead.alias("y"), F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi").select(F.col("band").alias("open_band"), "y")
 
 
-def _linked(members: DataFrame, sets: DataFrame, bands: DataFrame, percent: int) -> DataFrame:
+def _linked(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """(node, root) of the graph of all similar pairs that share a bucket."""
     links = labels = None
     for k in range(ROUNDS):
         placed = _placed(members, labels)
         opened = _open(placed, k)
         # buckets of one component are done; of the others, the round's node has met all once they have met it
-        met = checkpointed(placed.join(opened, F.col("band") == F.col("open_band")).drop("open_band"))
-        found = met.alias("x").where((F.col("x.root") != F.col("y.root")) & _near("x", "y", percent))
-        fresh = checkpointed(_confirmed(_pairs(found), sets, percent))
+        hit = (F.col("x.root") != F.col("y.root")) & _near("x", "y", percent)
+        met = checkpointed(placed.alias("x").join(opened, F.col("band") == F.col("open_band")).select("x.key", "band", "x.n", "x.sketch", F.col("y.key").alias("lead"), hit.alias("hit")))
+        fresh = checkpointed(_confirmed(_pairs(met.where("hit"), "key", "lead"), sets, percent))
         links = fresh if links is None else links.unionByName(fresh)
         labels = checkpointed(components(links))
-        members = met.where(F.col("key") != F.col("y.key")).drop("y", "root")
+        members = met.where("key <> lead").drop("lead", "hit")
     placed = _placed(members, labels)
     opened = checkpointed(_open(placed, ROUNDS).select("open_band", F.col("y.root").alias("main")))
     left = checkpointed(placed.join(opened, F.col("band") == F.col("open_band")))
     known = sets.select("key", "shingles").join(left.select("key").distinct(), "key", "left_semi").mapInArrow(_fine, "key binary, fine array<long>")
-    rest = checkpointed(left.join(known, "key").join(bands, "key"))
+    open_bands = left.groupBy("key").agg(F.sort_array(F.collect_list("band")).alias("bands"))
+    rest = checkpointed(left.join(known.join(open_bands, "key"), "key").drop("open_band"))
     # every node outside the bucket's main component against all of the bucket's other components
     x, y = rest.where("root <> main").alias("x"), rest.alias("y")
-    # a pair comes out of the first bucket that it shares only
+    # a pair comes out of the first open bucket that it shares only
     once = F.element_at(F.array_intersect("x.bands", "y.bands"), 1) == F.col("x.band")
-    across = x.join(y, (F.col("x.band") == F.col("y.band")) & (F.col("x.root") != F.col("y.root")) & _near("x", "y", percent) & _apart("x", "y", "fine", FINE_BITS, percent) & once)
-    return components(links.unionByName(_confirmed(_pairs(across), sets, percent)))
+    across = x.join(y, (F.col("x.band") == F.col("y.band")) & (F.col("x.root") != F.col("y.root")) & _nearer("x", "y", percent) & once)
+    return components(links.unionByName(_confirmed(_pairs(across, "x.key", "y.key"), sets, percent)))
 
 
 def _named(rows: DataFrame, groups: DataFrame) -> DataFrame:
@@ -238,7 +245,7 @@ def near_duplicates(docs: DataFrame, percent: int = 75) -> DataFrame:
     wanted = source.join(beside_texts(met.toDF("m_id", "m_mark")), F.col("doc_id").eqNullSafe(F.col("m_id")) & (F.col("mark") == F.col("m_mark")), "left_semi")
     sets = checkpointed(over_texts(wanted.select("text"), "key binary, shingles array<long>, sketch array<long>", _sets).dropDuplicates(["key"]))
     sketched = checkpointed(members.join(sets.select("key", F.size("shingles").alias("n"), "sketch"), "key"))
-    labels = _linked(sketched, sets, nodes.select("key", "bands"), percent)
+    labels = _linked(sketched, sets, percent)
     placed = nodes.select("key", "n", "rep").join(labels.withColumnRenamed("node", "key"), "key")
     ids = placed.groupBy("root").agg(F.min("rep").alias("component_id"))
     joined = placed.join(beside_texts(ids), "root").select("key", "n", "component_id")

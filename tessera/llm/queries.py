@@ -130,18 +130,22 @@ def _op8_sql() -> str:
 
 def _op10_sql() -> str:
     split = "list_filter(list_transform(string_split(regexp_replace({t}, '([.!?])[ \\t]+', '\\1' || chr(10), 'g'), chr(10)), lambda p: trim(p)), lambda p: p <> '')".replace("\\\\", "\\")
-    lanes = "list_transform(range(1, 65), lambda k: coalesce(list_sum(list_transform({p}, lambda q: instr('0123456789abcdef', substr(sha256(q), k, 1)) - 1)), 0)::BIGINT)"
-    shown = "printf('%08x', len({p})) || array_to_string(list_transform({v}, lambda x: printf('%04x', x % 65536)), '')"
+    numbers = "list_transform({p}, lambda q: list_transform(range(0, 16), lambda k: ('0x' || substr(sha256(q) || sha256('+' || q), 8 * k + 1, 8))::BIGINT))"
+    wide = "list_transform(range(1, 17), lambda k: coalesce(list_sum(list_transform({h}, lambda v: v[k])), 0)::HUGEINT)"
+    lanes = "list_transform(range(0, 128), lambda k: coalesce(list_sum(list_transform({h}, lambda v: (v[1 + k // 32] >> (k % 32)) & 1)), 0)::BIGINT)"
+    shown = "printf('%08x', len({p})) || array_to_string(list_transform({w}, lambda x: printf('%08x', (x % 4294967296)::BIGINT)), '') || array_to_string(list_transform({v}, lambda x: printf('%04x', x % 65536)), '')"
 
     def near(f: str, p: str, v: str, g: str, q: str, w: str) -> str:
-        gap = f"list_sum(list_transform(range(1, 65), lambda k: (((({v}[k] - {w}[k] + 32768) % 65536 + 65536) % 65536 - 32768) - 7.5::DOUBLE * (len({p}) - len({q}))) ** 2))"
-        return f"CASE WHEN {f} = {g} THEN 1.0::DOUBLE WHEN len({p}) + len({q}) = 0 THEN 1.0::DOUBLE ELSE greatest(0.0::DOUBLE, 1.0::DOUBLE - least(1.0::DOUBLE, {gap} / 1360.0::DOUBLE / (len({p}) + len({q})))) END"
+        mean = f"floor(0.5::DOUBLE * (len({p}) - len({q})))::BIGINT"
+        gap = f"list_sum(list_transform(range(1, 129), lambda k: ((({v}[k] % 65536 - {w}[k] % 65536 - {mean} + 32768) % 65536 + 65536) % 65536 - 32768 - (0.5::DOUBLE * (len({p}) - len({q})) - {mean})) ** 2))"
+        return f"CASE WHEN {f} = {g} THEN 1.0::DOUBLE WHEN len({p}) + len({q}) = 0 THEN 1.0::DOUBLE ELSE greatest(0.0::DOUBLE, 1.0::DOUBLE - least(1.0::DOUBLE, {gap} / 32.0::DOUBLE / (len({p}) + len({q})))) END"
 
     return f"""WITH d AS (SELECT doc_id, coalesce(text, '') AS t, length(coalesce(text, ''))::BIGINT AS n_chars FROM documents),
 e AS (SELECT *, substr(t, 1, n_chars - n_chars // 2) || substr(coalesce(lead(t) OVER o, first_value(t) OVER o), 1, n_chars // 2) AS ed FROM d WINDOW o AS (ORDER BY doc_id)),
 p AS (SELECT *, {split.format(t="t")} AS p1, {split.format(t="ed")} AS p2 FROM e),
-l AS (SELECT *, {lanes.format(p="p1")} AS v1, {lanes.format(p="p2")} AS v2 FROM p),
-f AS (SELECT *, {shown.format(p="p1", v="v1")} AS f1, {shown.format(p="p2", v="v2")} AS f2 FROM l),
+h AS (SELECT *, {numbers.format(p="p1")} AS h1, {numbers.format(p="p2")} AS h2 FROM p),
+l AS (SELECT * EXCLUDE (h1, h2), {wide.format(h="h1")} AS w1, {wide.format(h="h2")} AS w2, {lanes.format(h="h1")} AS v1, {lanes.format(h="h2")} AS v2 FROM h),
+f AS (SELECT *, {shown.format(p="p1", w="w1", v="v1")} AS f1, {shown.format(p="p2", w="w2", v="v2")} AS f2 FROM l),
 x AS (SELECT *, coalesce(lead(f1) OVER o, first_value(f1) OVER o) AS f3, coalesce(lead(p1) OVER o, first_value(p1) OVER o) AS p3, coalesce(lead(v1) OVER o, first_value(v1) OVER o) AS v3 FROM f WINDOW o AS (ORDER BY doc_id))
 SELECT doc_id, n_chars, sha256(ed) AS edited_sha256, f1 AS fingerprint, f2 AS edited_fingerprint, {near("f1", "p1", "v1", "f2", "p2", "v2")} AS near_edited, {near("f1", "p1", "v1", "f3", "p3", "v3")} AS near_next FROM x"""
 

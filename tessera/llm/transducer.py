@@ -10,8 +10,11 @@ only those that texts reach are built, and past `MOST_STATES` the table starts a
 
 Long inputs are cut into chunks that run side by side. A chunk's state map is constant from its
 first pre-token boundary on, since a boundary leads every state to the start; what lies before it
-depends on the entry state. The maps are composed by a prefix scan over the chunks: exits of
-constant maps are the entries of their successors, whose heads then run from them.
+depends on the entry state. Of a chunk without any boundary the map is known, at first, for the start
+state only. The maps are composed by a prefix scan over the chunks in rounds: each chunk's exit is the
+entry of the next, and all chunks whose entry is another than the one they are known for run again, side
+by side, until they meet the states of their run before, after a few bytes mostly; a round's changed exits
+are the next round's entries. Pre-tokens of over `LONG` bytes are counted by the library.
 """
 
 from __future__ import annotations
@@ -28,6 +31,8 @@ MOST_STATES = 200_000
 #: Slots for transitions at first; a run that needs more doubles them. Longer inputs are cut at pre-tokens into runs of about as many bytes.
 SLOTS = 1 << 21
 CHUNK = 512
+#: Bytes of a pre-token beyond which the library itself counts its tokens.
+LONG = 1 << 16
 
 _SPREAD = np.uint64(0x9E3779B97F4A7C15)
 
@@ -226,21 +231,35 @@ class Transducer:
         turn = lambda x: np.ascontiguousarray(x.reshape(lanes, CHUNK).T)
         values = np.zeros((CHUNK, lanes), np.int32 if n <= 1 << 22 else np.int64)
         steps, flags = turn(padded), turn(fresh)
-        exits = self._run(steps, flags, np.full(lanes, WAITING), values)
-        values = np.ascontiguousarray(values.T)
         begins = fresh.reshape(lanes, CHUNK) == 0
         first = np.where(begins.any(1), begins.argmax(1), CHUNK)
+        entry = np.where(first == CHUNK, START, WAITING)
+        exits = self._run(steps, flags, entry, values)
+        values = np.ascontiguousarray(values.T)
         todo = np.flatnonzero(first > 0)
-        while todo.size:  # once, but for chunks without any boundary, which wait for the one before
-            ready = todo[exits[todo - 1] != WAITING]
-            far = int(first[ready].max())
-            head = np.zeros((far, ready.size), values.dtype)
-            out = self._run(steps[:far, ready], flags[:far, ready], exits[ready - 1], head)
-            inside = np.arange(far)[None, :] < first[ready][:, None]
-            values[ready, :far] = np.where(inside, head.T, values[ready, :far])
-            whole = first[ready] == CHUNK
-            exits[ready[whole]] = out[whole]
-            todo = np.setdiff1d(todo, ready, assume_unique=True)
+        while todo.size:
+            todo = todo[exits[todo - 1] != entry[todo]]
+            if not todo.size:
+                break
+            entry[todo] = exits[todo - 1]
+            live, state, changed = todo, entry[todo].astype(np.int64), []
+            for i in range(int(first[todo].max())):
+                while self.filled + len(live) > len(self.keys) // 4 * 3:
+                    self._grow()
+                v = self.values.take(self._find(((state * flags[i, live]) << 8) | steps[i, live]))
+                met = (values[live, i] >> 8) == (v >> 8)
+                values[live, i], state = v, (v >> 8).astype(np.int64)
+                over = first[live] == i + 1
+                out = over & ~met & (first[live] == CHUNK)
+                exits[live[out]] = state[out]
+                changed.append(live[out])
+                keep = ~met & ~over
+                live, state = live[keep], state[keep]
+                if not live.size:
+                    break
+            todo = np.concatenate(changed) + 1
+            todo = todo[todo < lanes]
+            todo = todo[first[todo] > 0]
         values = values.ravel()[:n]
         return values >> 8, (values & 255) - 128
 
@@ -260,9 +279,21 @@ class Transducer:
         data, edges, at, special = self.splitter.starts(parts)
         if not at.size:
             return np.zeros(len(parts), np.int64)
+        size = np.diff(np.concatenate((at, [data.size])))
+        long_ = np.flatnonzero(size > LONG)
+        out = np.zeros(len(parts), np.int64)
+        if long_.size:
+            doc = np.searchsorted(edges, at[long_], "right") - 1
+            np.add.at(out, doc, [len(x) for x in self.splitter.whole([data[at[k] : at[k] + size[k]].tobytes() for k in long_.tolist()])])
+            keep = np.ones(at.size, bool)
+            keep[long_] = False
+            place = np.concatenate(([0], np.cumsum(np.repeat(keep, size))))
+            data, edges, at, special = data[np.repeat(keep, size)], place[edges], place[at[keep]], special[keep]
+            if not at.size:
+                return out
         _, emits = self._scanned(data, at)
         total = np.concatenate(([0], np.cumsum(emits, dtype=np.int64)))
-        out = total[edges[1:]] - total[edges[:-1]]
+        out += total[edges[1:]] - total[edges[:-1]]
         for k in np.flatnonzero(special >= 0):  # one token instead of those of its bytes
             end = at[k + 1] if k + 1 < at.size else data.size
             out[np.searchsorted(edges, at[k], "right") - 1] += 1 - (total[end] - total[at[k]])

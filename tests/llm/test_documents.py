@@ -1,6 +1,8 @@
+import datetime
 import hashlib
 import random
 import re
+import unicodedata
 import zlib
 
 import numpy as np
@@ -10,8 +12,8 @@ from pyspark.sql import functions as F
 from tessera.llm import secrets, textscan
 from tessera.llm.components import components
 from tessera.llm.decontamination import contamination, decontaminated
-from tessera.llm.fingerprints import combined, edited_fingerprints, fingerprint, likeness
-from tessera.llm.language import Words, identify
+from tessera.llm.fingerprints import combined, edited_fingerprints, likeness, with_fingerprint
+from tessera.llm.language import Words, identify, viterbi
 from tessera.llm.near_duplicates import deduplicated, near_duplicates
 from tessera.llm.secrets import redacted, secret_report, trigram_query
 from tessera.llm.sharding import difference, leaves, shard_by_bytes
@@ -288,14 +290,52 @@ def test_language_ngrams():
     times = np.bincount(words.back, minlength=len(words.script))
     got = np.bincount(words.grams, times[words.owner].astype(float), 1 << 16)
     want = np.zeros(1 << 16)
-    for run in re.findall("[abé日本語ж]+", text):
+    for run in re.findall("[abé]+|[日本語]+|ж+", text):
         b = b" " + run.encode() + b" "
         for size in (2, 3, 4):
             for k in range(len(b) - size + 1):
                 x = np.array([int.from_bytes(b[k : k + size], "big") + (size << 40)], np.uint64)
                 want[int(textscan.mix64(x)[0] >> np.uint64(48))] += 1
     assert (got == want).all()
-    assert words.letters.sum() == sum(len(r.encode()) for r in re.findall("[abé日本語ж]+", text))
+    assert words.letters.sum() == len(re.findall("[abé日本語ж]", text))
+
+
+def test_long_runs_are_read_to_the_end():
+    head = "".join(chr(0x4E00 + k) for k in range(200))
+    a, b = (Words([(head + tail).encode()], 16) for tail in ("\u4e01\u4e02", "\u5e01\u5e02"))
+    assert a.grams.tolist() != b.grams.tolist()
+
+
+def test_viterbi_is_the_best_path(monkeypatch):
+    monkeypatch.setattr("tessera.llm.language.CHUNK", 5)
+    rng = np.random.default_rng(4)
+    for labels, penalty in ((2, 1.5), (4, 0.7), (3, 0.0)):
+        size = [0, 1, 2, 7, 5, 23, 61, 10]
+        first = np.concatenate(([0], np.cumsum(size)))
+        scores = rng.normal(0, 1, (int(first[-1]), labels)).astype(np.float32)
+        got = viterbi(scores, first, penalty)
+        for k, n in enumerate(size):
+            own, path = scores[first[k] : first[k + 1]].astype(float), got[first[k] : first[k + 1]]
+            best = np.zeros(labels)
+            for row in own:
+                best = np.maximum(best, best.max() - penalty) + row
+            worth = sum(own[t, path[t]] - penalty * (t > 0 and path[t] != path[t - 1]) for t in range(n))
+            assert n == 0 or abs(worth - best.max()) < 1e-4
+
+
+def test_letters_of_every_category(spark):
+    """A text is `und` exactly if it has no code point of a letter category; repeated rows and further columns do no harm."""
+    rnd, by = random.Random(2), {}
+    for code in range(0x110000):
+        if not 0xD800 <= code < 0xE000:
+            by.setdefault(unicodedata.category(chr(code)), []).append(code)
+    codes = [c for own in by.values() for c in rnd.sample(own, min(12, len(own)))] + [0x2764, 0xFE0F, 0x3001, 0x663, 0xFF71, 0x1D400]
+    rows = [(k, chr(c) * 2, None, "x") for k, c in enumerate(codes)] + [(100_000 + k, rnd.choice(WORDS["en"]) + " of", "en", "y") for k in range(60)] + [(7, "!" + chr(codes[7]), None, "x")] * 2
+    got = identify(spark.createDataFrame(rows, "doc_id long, text string, lang string, lang_pred string")).collect()
+    assert len(got) == len(rows)
+    for r in got:
+        if r["doc_id"] < 100_000 and r["doc_id"] != 7:
+            assert (r["lang_pred"] != "und") == unicodedata.category(chr(codes[r["doc_id"]])).startswith("L"), hex(codes[r["doc_id"]])
 
 
 # ---- secrets
@@ -355,12 +395,14 @@ def test_trigram_queries():
 
 def brute_print(t):
     parts = [p.strip(" ") for p in re.sub(r"([.!?])[ \t]+", r"\1\n", t).split("\n")]
-    parts = [p for p in parts if p]
-    lanes = [0] * 64
+    parts = [p.encode() for p in parts if p]
+    wide, lanes = [0] * 16, [0] * 128
     for p in parts:
-        for k, c in enumerate(hashlib.sha256(p.encode()).hexdigest()):
-            lanes[k] += int(c, 16)
-    return f"{len(parts):08x}" + "".join(f"{x % 65536:04x}" for x in lanes)
+        shown = hashlib.sha256(p).hexdigest() + hashlib.sha256(b"+" + p).hexdigest()
+        numbers = [int(shown[8 * k : 8 * k + 8], 16) for k in range(16)]
+        wide = [x + y for x, y in zip(wide, numbers)]
+        lanes = [x + (numbers[k // 32] >> (k % 32) & 1) for k, x in enumerate(lanes)]
+    return f"{len(parts):08x}" + "".join(f"{x % 2**32:08x}" for x in wide) + "".join(f"{x % 65536:04x}" for x in lanes)
 
 
 def test_fingerprints(spark, monkeypatch):
@@ -382,9 +424,27 @@ def test_fingerprints(spark, monkeypatch):
     assert alone["near_next"] == 1
 
 
+@pytest.mark.parametrize("kind", ["string", "long", "date"])
+def test_fingerprints_of_odd_ids(spark, monkeypatch, kind):
+    monkeypatch.setattr("tessera.llm.fingerprints.bucketed.__defaults__", (2,))
+    ids = {"string": ["b'x", None, "a", "c,d", "b", "e"], "long": [5, None, -3, 8, 9, 70], "date": [None, *[datetime.date(2000, 1, k) for k in (3, 9, 2, 30, 4)]]}[kind]
+    texts = {i: f"text {k}. and more of {k}" for k, i in enumerate(ids)}
+    rows = [(i, t) for i, t in texts.items()] + [(ids[2], texts[ids[2]])] * 3
+    got = edited_fingerprints(spark.createDataFrame(rows, f"doc_id {kind}, text string")).collect()
+    assert len(got) == len(rows)
+    order = sorted(rows, key=lambda r: (r[0] is not None, r[0] if r[0] is not None else 0))
+    want = []
+    for k, (i, t) in enumerate(order):
+        nxt = order[(k + 1) % len(order)][1]
+        want.append((str(i), hashlib.sha256((t[: len(t) - len(t) // 2] + nxt[: len(t) // 2]).encode()).hexdigest()))
+    assert sorted((str(r["doc_id"]), r["edited_sha256"]) for r in got) == sorted(want)
+
+
 def test_homomorphism(spark):
     df = spark.createDataFrame([("a b.\nc d", "e\nf", "f\nc d\na b.\ne", "c d\na b.")], "x string, y string, both string, turned string")
-    p = [fingerprint(F.col(c)) for c in ("x", "y", "both", "turned")]
+    for c in ("x", "y", "both", "turned"):
+        df = with_fingerprint(df, c, f"p_{c}")
+    p = [F.col(f"p_{c}") for c in ("x", "y", "both", "turned")]
     r = df.select((combined(p[0], p[1]) == p[2]).alias("joined"), (combined(p[2], p[1], -1) == p[0]).alias("taken"), (p[0] == p[3]).alias("order"), likeness(p[0], p[1]).alias("apart"), likeness(p[0], p[2]).alias("half")).first()
     assert (r["joined"], r["taken"], r["order"]) == (True, True, True)
     assert r["apart"] < 0.4 < r["half"] < 0.9

@@ -85,6 +85,29 @@ def test_transducer_forgets(monkeypatch):
         assert t.counts([x.encode() for x in texts[k : k + 50]]).tolist() == [len(x) for x in library(texts[k : k + 50])]
 
 
+def long_words(n):
+    rnd = random.Random(5)
+    return ["".join(rnd.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(n)), "ab" * (n // 2), "a" * n, "abc" * (n // 3) + "x", " " * n + "y", "é日" * (n // 5), "x " + "".join(rnd.choice("ent") for _ in range(n)) + " z"]
+
+
+@pytest.mark.parametrize("n", [700, 5000, 40_000])
+def test_chunk_maps_without_boundaries(n):
+    texts = ["one", *long_words(n), "two words", *long_words(n // 2)]
+    parts, want = [t.encode() for t in texts], library(texts)
+    assert Transducer(PATH).counts(parts).tolist() == [len(x) for x in want]
+    assert split(*Transducer(PATH).encode(parts)) == want
+    assert split(*bytelevel.Encoder(PATH).encode(parts)) == want
+
+
+def test_very_long_words():
+    """4 MB without a boundary, and a special string behind it."""
+    rnd = random.Random(6)
+    texts = ["a b", "".join(rnd.choices("abcdefghijklmnopqrstuvwxyz", k=4 << 20)) + "<|endoftext|> end", "ab" * (2 << 20), "tail"]
+    parts, want = [t.encode() for t in texts], library(texts)
+    assert Transducer(PATH).counts(parts).tolist() == [len(x) for x in want]
+    assert split(*bytelevel.Encoder(PATH).encode(parts)) == want
+
+
 def frame(spark, rows):
     return spark.createDataFrame(rows, "doc_id long, text string, lang string, n_tokens long")
 
