@@ -1,12 +1,10 @@
 """Document fingerprints: a homomorphic hash of the multiset of paragraphs, in DataFrame operations only.
 
-A paragraph hashes to a wide vector, 16 numbers of 32 bits (its SHA-256 and that
-of it behind a plus sign), and to a sketch, the 128 bits of
-the first four. A fingerprint is the number of paragraphs, the sum of their vectors modulo 2**32 and the sum
-of their sketches modulo 2**16, by lane, so it doesn't depend on order, and paragraphs can be added to and
-taken from it without the rest of the text. Sketches of two texts differ by the sum over the paragraphs
-that only one has; the mean square of that difference, which bits at random make a quarter a paragraph,
-tells how many there are.
+A paragraph hashes to a wide vector, the 64 hexadecimal digits of its SHA-256. A fingerprint is the
+number of paragraphs and the sum of their vectors, each lane modulo 2**16 (the number modulo 2**32),
+so it doesn't depend on order, and paragraphs can be added to and taken from it without the rest of
+the text. Fingerprints of two texts differ by the sum over the paragraphs that only one has; the mean
+square of that difference, which digits at random make 21.25 a paragraph, tells how many there are.
 """
 
 from __future__ import annotations
@@ -17,10 +15,8 @@ from pyspark.sql import functions as F
 
 from tessera.llm.common import checkpointed
 
-#: Lanes of the vector and of the sketch, with their moduli, and documents of a bucket of neighbours at least.
-WIDE, WIDE_MODULUS, LANES, MODULUS, BUCKET = 16, 1 << 32, 128, 1 << 16, 2_000
-#: The first and the third number's bits are summed side by side, in the halves of a long, and so are the second's and the fourth's.
-BOTH = (1 << 32) + 1
+#: Lanes of the vector, their modulus, the variance of a random digit, and documents of a bucket of neighbours at least.
+LANES, MODULUS, VARIANCE, BUCKET = 64, 1 << 16, 21.25, 2_000
 
 
 def paragraphs(text: Column) -> Column:
@@ -29,49 +25,34 @@ def paragraphs(text: Column) -> Column:
     return F.filter(F.transform(lines, lambda p: F.trim(p)), lambda p: p != "")
 
 
-def _sums(parts: Column) -> Column:
-    """Sums over paragraphs: of the vector's numbers, then of the sketch's bits, a bit of two numbers in one long."""
-    hashes = F.transform(parts, lambda p: F.concat(F.sha2(p, 256), F.sha2(F.concat(F.lit("+"), p), 256)))
-    numbers = F.transform(hashes, lambda h: F.array(*[_number(F.substring(h, 8 * k + 1, 8)) for k in range(WIDE)]))
-    numbers = F.transform(numbers, lambda v: F.concat(v, F.array(*[v[k].bitwiseOR(F.shiftleft(v[k + 2], 32)) for k in (0, 1)])))
-    zero = F.expr(f"cast(array_repeat(0, {WIDE + LANES // 2}) as array<long>)")
-    more = lambda t, v: F.array(*[t[k] + v[k] for k in range(WIDE)], *[t[WIDE + k] + F.shiftrightunsigned(v[WIDE + k // 32], k % 32).bitwiseAND(F.lit(BOTH)) for k in range(LANES // 2)])
-    return F.aggregate(numbers, zero, more)
+def _lanes(parts: Column) -> Column:
+    """The sum of the paragraphs' vectors: their digits' values by lane."""
+    hashes = F.transform(parts, lambda p: F.sha2(p, 256))
+    digits = F.transform(hashes, lambda h: F.transform(F.split(h, ""), lambda c: F.ascii(c) - F.when(c >= "a", 87).otherwise(48)))
+    zero = F.expr(f"cast(array_repeat(0, {LANES}) as array<int>)")
+    return F.aggregate(digits, zero, lambda t, d: F.zip_with(t, d, lambda x, y: (x + F.coalesce(y, F.lit(0))).cast("int")))
 
 
 def _hex(value: Column, width: int) -> Column:
     return F.lpad(F.lower(F.hex(value.cast("long"))), width, "0")
 
 
-def _encoded(count: Column, wide: Column, lanes: Column) -> Column:
-    """8 hexadecimal digits of the number of paragraphs and of each number of the vector, then 4 for each lane of the sketch."""
-    shown = lambda values, modulus, width: F.array_join(F.transform(values, lambda x: _hex(F.pmod(x, F.lit(modulus)), width)), "")
-    return F.concat(_hex(F.pmod(count.cast("long"), F.lit(1 << 32)), 8), shown(wide, WIDE_MODULUS, 8), shown(lanes, MODULUS, 4))
+def encode(count: Column, lanes: Column) -> Column:
+    """8 hexadecimal digits of the number of paragraphs, then 4 for each lane."""
+    return F.concat(_hex(F.pmod(count.cast("long"), F.lit(1 << 32)), 8), F.array_join(F.transform(lanes, lambda x: _hex(F.pmod(x, F.lit(MODULUS)), 4)), ""))
 
 
-def _print(count: Column, sums: Column) -> Column:
-    packed = F.slice(sums, WIDE + 1, LANES // 2)
-    low, high = F.transform(packed, lambda x: x.bitwiseAND(F.lit((1 << 32) - 1))), F.transform(packed, lambda x: F.shiftrightunsigned(x, 32))
-    return _encoded(count, F.slice(sums, 1, WIDE), F.concat(low, high))
-
-
-def with_fingerprint(df: DataFrame, text: str, name: str) -> DataFrame:
-    """df with the fingerprint of a text column; what it takes goes through columns so that nothing is worked twice."""
-    df = df.withColumn(name, paragraphs(F.col(text)))
-    df = df.withColumn(name, F.struct(F.size(name).alias("n"), _sums(F.col(name)).alias("sums")))
-    return df.withColumn(name, _print(F.col(name)["n"], F.col(name)["sums"]))
+def fingerprint(text: Column) -> Column:
+    parts = paragraphs(text)
+    return encode(F.size(parts), _lanes(parts))
 
 
 def _number(hexes: Column) -> Column:
     return F.conv(hexes, 16, 10).cast("long")
 
 
-def vector_of(print_: Column) -> Column:
-    return F.transform(F.sequence(F.lit(0), F.lit(WIDE - 1)), lambda k: _number(F.substring(print_, k * 8 + 9, F.lit(8))))
-
-
 def lanes_of(print_: Column) -> Column:
-    return F.transform(F.sequence(F.lit(0), F.lit(LANES - 1)), lambda k: _number(F.substring(print_, k * 4 + 9 + 8 * WIDE, F.lit(4))))
+    return F.transform(F.sequence(F.lit(0), F.lit(LANES - 1)), lambda k: _number(F.substring(print_, k * 4 + 9, F.lit(4))))
 
 
 def count_of(print_: Column) -> Column:
@@ -80,23 +61,22 @@ def count_of(print_: Column) -> Column:
 
 def combined(a: Column, b: Column, sign: int = 1) -> Column:
     """The fingerprint of both texts' paragraphs together (sign 1), or of a's without b's (sign -1)."""
-    add = lambda x, y: x + sign * y
-    return _encoded(add(count_of(a), count_of(b)), F.zip_with(vector_of(a), vector_of(b), add), F.zip_with(lanes_of(a), lanes_of(b), add))
+    return encode(count_of(a) + sign * count_of(b), F.zip_with(lanes_of(a), lanes_of(b), lambda x, y: x + sign * y))
 
 
 def likeness(a: Column, b: Column) -> Column:
     """1 less the share of paragraphs that only one side has, as told from the fingerprints; 1 if they are equal.
 
-    A bit's mean, a half, is taken off by the numbers of paragraphs before lanes are taken as signed differences, so
-    only what is left, half the root of the paragraphs that differ, must fit a lane: 100 million do at five times that.
+    A digit's mean, 7.5, is taken off by the numbers of paragraphs before lanes are taken as signed differences,
+    so only what is left, about 4.6 by the root of the paragraphs that differ, must fit a lane: 2 million do at five times that.
     """
     na, nb = count_of(a), count_of(b)
     half = MODULUS // 2
-    mean = F.floor(0.5 * (na - nb)).cast("long")
-    rest = 0.5 * (na - nb) - mean
+    mean = F.floor(7.5 * (na - nb)).cast("long")
+    rest = 7.5 * (na - nb) - mean
     gap = F.zip_with(lanes_of(a), lanes_of(b), lambda x, y: F.pmod(x - y - mean + half, F.lit(MODULUS)) - half)
     square = F.aggregate(gap, F.lit(0.0), lambda t, x: t + (x - rest) * (x - rest))
-    apart = square / F.lit(LANES * 0.25)
+    apart = square / F.lit(LANES * VARIANCE)
     return F.when(a == b, F.lit(1.0)).when(na + nb == 0, F.lit(1.0)).otherwise(F.greatest(F.lit(0.0), 1.0 - F.least(F.lit(1.0), apart / (na + nb))))
 
 
@@ -147,12 +127,12 @@ def edited_fingerprints(docs: DataFrame) -> DataFrame:
     """
     text = F.coalesce(F.col("text"), F.lit(""))
     base = docs.select("doc_id", F.xxhash64(text).alias("mark"), text.alias("text"))
-    near = with_fingerprint(bucketed(base).withColumn("n_chars", F.length("text").cast("long")), "text", "fingerprint")
+    near = bucketed(base).withColumn("n_chars", F.length("text").cast("long")).withColumn("fingerprint", fingerprint(F.col("text")))
     order = W.partitionBy("bucket").orderBy("ghost", F.col("doc_id").asc_nulls_first(), "mark")
     beside = near.select("doc_id", "n_chars", "text", "fingerprint", "ghost", F.lead(F.struct("text", "fingerprint")).over(order).alias("next")).where("ghost = 0")
     half = F.floor(F.col("n_chars") / 2)
     other = F.coalesce(F.col("next.text"), F.col("text"))
     edited = F.concat(F.substring("text", F.lit(1), (F.col("n_chars") - half).cast("int")), F.substring(other, F.lit(1), half.cast("int")))
     out = beside.select("doc_id", "n_chars", "fingerprint", F.coalesce("next.fingerprint", "fingerprint").alias("next_print"), edited.alias("edited"))
-    out = with_fingerprint(out.withColumn("edited_sha256", F.sha2("edited", 256)), "edited", "edited_fingerprint").drop("edited")
+    out = out.withColumn("edited_sha256", F.sha2("edited", 256)).withColumn("edited_fingerprint", fingerprint(F.col("edited"))).drop("edited")
     return out.select("doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", likeness(F.col("fingerprint"), F.col("edited_fingerprint")).alias("near_edited"), likeness(F.col("fingerprint"), F.col("next_print")).alias("near_next"))
