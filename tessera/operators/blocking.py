@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.functions.text import first_word, soundex, strip, tokens
@@ -42,16 +42,55 @@ def rare_keys(target: DataFrame, most: int) -> DataFrame:
     return target.join(counts, "key")
 
 
+def _classes(df: DataFrame, column: str) -> DataFrame:
+    """(words, n, ids): records by their set of distinct words over two characters, joined by spaces in order."""
+    words = F.array_sort(F.array_distinct(F.filter(tokens(F.col(column)), lambda t: F.length(t) > 2)))
+    return df.select(F.array_join(words, " ").alias("words"), "entity_id").where("words <> ''")
+
+
+def _usable(left: DataFrame, right: DataFrame, most: int) -> tuple[DataFrame, DataFrame]:
+    """Of each class of both sides its words that at most `most` targets have, rarest first, and how many targets have them: (words, usable)."""
+    mine, theirs = left.select("words").distinct(), right.groupBy("words").agg(F.count(F.lit(1)).alias("n"))
+    each = lambda df, *more: df.select("words", *more, F.explode(F.split("words", " ")).alias("word"))
+    df = each(theirs, "n").groupBy("word").agg(F.sum("n").alias("df")).where(F.col("df") <= most)
+    sets = lambda classes: each(classes).join(df, "word").groupBy("words").agg(F.transform(F.array_sort(F.collect_list(F.struct("df", "word"))), lambda x: x["word"]).alias("usable"))
+    return sets(mine), sets(theirs.drop("n"))
+
+
+def _class_pairs(mine: DataFrame, theirs: DataFrame, least: int) -> DataFrame:
+    """(a, b, shared) of classes that share at least `least` words. Two such sets share one of the rarest |set| - least + 1 words of each, so only those are joined."""
+    rarest = F.explode(F.slice("usable", 1, F.greatest(F.size("usable") - least + 1, F.lit(0)))).alias("word")
+    x, y = mine.select(F.col("words").alias("a"), rarest), theirs.select(F.col("words").alias("b"), rarest)
+    if least == 1:
+        return x.join(y, "word").groupBy("a", "b").agg(F.count(F.lit(1)).alias("shared"))
+    pairs = x.join(y, "word").select("a", "b").distinct()
+    full = pairs.join(mine.toDF("a", "u"), "a").join(theirs.toDF("b", "v"), "b")
+    return full.select("a", "b", F.size(F.array_intersect("u", "v")).cast("long").alias("shared")).where(F.col("shared") >= least)
+
+
 def shared_token_counts(s1: DataFrame, target: DataFrame, column: str, most: int = TOKEN_TARGETS) -> DataFrame:
     """A4: (s1_id, target_id, shared): distinct words over two characters that both have, those of more than `most` targets left out."""
-    words = F.explode(F.array_distinct(F.filter(tokens(F.col(column)), lambda t: F.length(t) > 2)))
-    mine, theirs = _keyed(s1, words, "s1_id"), rare_keys(_keyed(target, words, "target_id"), most)
-    return mine.join(theirs, "key").groupBy("s1_id", "target_id").agg(F.count(F.lit(1)).alias("shared"))
+    left, right = _classes(s1, column), _classes(target, column)
+    pairs = _class_pairs(*_usable(left, right, most), 1)
+    out = pairs.join(left.toDF("a", "s1_id"), "a").join(right.toDF("b", "target_id"), "b")
+    return out.select("s1_id", "target_id", "shared").distinct()
 
 
 def block_token_overlap(s1: DataFrame, target: DataFrame, column: str, least: int = 3, k: int = TOKEN_TOP, most: int = TOKEN_TARGETS) -> DataFrame:
-    """The k targets of each record that share most words, at least `least`."""
-    return top_k(shared_token_counts(s1, target, column, most).where(F.col("shared") >= least), k, "shared").select("s1_id", "target_id")
+    """The k targets of each record that share most words, at least `least`.
+
+    Records of equal word sets are one class, so a common name is compared once. Of a class of targets only
+    the k least ids can be among a record's k, and only if fewer than k targets share more words with it.
+    """
+    left, right = _classes(s1, column).distinct(), _classes(target, column).distinct()
+    pairs = _class_pairs(*_usable(left, right, most), least)
+    rank = F.row_number().over(Window.partitionBy("words").orderBy("entity_id"))
+    some = right.withColumn("rank", rank).where(F.col("rank") <= k).groupBy("words").agg(F.collect_list("entity_id").alias("ids"))
+    sized = pairs.join(some.toDF("b", "ids"), "b")
+    better = F.coalesce(F.sum(F.size("ids")).over(Window.partitionBy("a").orderBy(F.col("shared").desc()).rangeBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    near = sized.withColumn("better", better).where(F.col("better") < k).select(F.col("a").alias("s1_id"), F.explode("ids").alias("target_id"), "shared")
+    best = top_k(near, k, "shared").select(F.col("s1_id").alias("words"), "target_id")
+    return best.join(left, "words").select(F.col("entity_id").alias("s1_id"), "target_id")
 
 
 def block_phonetic(s1: DataFrame, target: DataFrame, column: str, most: int = PHONETIC_TARGETS) -> DataFrame:

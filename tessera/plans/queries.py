@@ -131,10 +131,18 @@ counts AS (SELECT entity_id AS s1_id, coalesce(tp, 0) AS tp, coalesce(predicted,
 
 
 def scratch(spark: SparkSession) -> str:
-    """A folder that driver and executors share."""
+    """A folder that driver and executors share; one of our own only if all run in this process."""
+    import atexit
+    import re
+    import shutil
     import tempfile
 
-    held = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="tessera-")
+    held = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
+    if not held:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        held = tempfile.mkdtemp(prefix="tessera-")
+        atexit.register(shutil.rmtree, held, ignore_errors=True)
     return f"{held.rstrip('/')}/scratch-{uuid.uuid4().hex}"
 
 
