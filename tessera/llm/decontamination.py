@@ -14,19 +14,26 @@ from tessera.llm import textscan
 from tessera.llm.common import kept_texts, over_texts
 
 #: Bytes of training text under one suffix array, and of benchmark text searched in one pass.
-SHARD_BYTES, BENCHMARK_BYTES = 8 << 20, 16 << 20
+SHARD_BYTES, BENCHMARK_BYTES = 8 << 20, 4 << 20
 
 
 @dataclass
 class Suffixes:
-    """All suffixes of a block of benchmark items, as numbers of their words."""
+    """All suffixes of a block of benchmark items, as numbers of their words; windows of equal words once, with the items that have them."""
 
     vocabulary: np.ndarray  # sorted hashes of the items' words; word k has number k + 1
     words: np.ndarray  # numbers of the words of all items, 0 behind each item
     start: np.ndarray  # place in `words` of each suffix
     item: np.ndarray  # its item, as a place in `names`
-    need: np.ndarray  # words of the window that begins there; 0 if none does
+    need: np.ndarray  # words of the window that begins there; 0 if none does or a suffix before has it
     names: list[str]
+    group: np.ndarray  # number of the items' list of the window that begins there
+    items: list[np.ndarray]  # places in `names`, by that number
+    depth: int  # words of a whole window
+    array: np.ndarray  # places in `words`, sorted by all that follows in their items
+    rank: np.ndarray  # where in `array` a place is
+    low: np.ndarray  # of each window, its first row in `array`
+    high: np.ndarray  # and the row past its last
 
     @staticmethod
     def of(names: list[str], texts: list[bytes], window: int) -> Suffixes:
@@ -40,7 +47,56 @@ class Suffixes:
         place = np.arange(len(hashes)) - np.repeat(first[:-1], n)
         left = n[item] - place
         need = np.where(left >= window, window, np.where((n[item] < window) & (place == 0), n[item], 0))
-        return Suffixes(vocabulary, np.concatenate((number, [0])), start, item, need, names)
+        words = np.concatenate((number, [0]))
+        # equal windows lie together once sorted by their words and their size
+        own = np.flatnonzero(need)
+        padded = np.concatenate((words, np.zeros(window, words.dtype)))
+        columns = [np.where(need[own] > d, padded[start[own] + d], 0) for d in range(window)]
+        order = own[np.lexsort([own, *columns[::-1]])] if own.size else own
+        new = np.ones(len(order), bool)
+        for d in range(window):
+            value = np.where(need[order] > d, padded[start[order] + d], 0)
+            new[1:] = (value[1:] != value[:-1]) if d == 0 else new[1:] | (value[1:] != value[:-1])
+        heads = np.flatnonzero(new)
+        ends = np.append(heads[1:], len(order))
+        group, lists, items = np.full(len(need), -1), {}, []
+        for a, b in zip(heads.tolist(), ends.tolist()):
+            have = np.unique(item[order[a:b]]) if b - a > 1 else item[order[a:b]]
+            key = have.tobytes()
+            if key not in lists:
+                lists[key] = len(items)
+                items.append(have)
+            group[order[a]] = lists[key]
+        need = need.copy()
+        need[order[~new]] = 0
+        array, rank = sorted_suffixes(words)
+        low, high = np.zeros(len(need), np.int64), np.zeros(len(need), np.int64)
+        for a, b in zip(heads.tolist(), ends.tolist()):
+            rows = rank[start[order[a:b]]]
+            low[order[a]], high[order[a]] = rows.min(), rows.max() + 1
+        return Suffixes(vocabulary, words, start, item, need, names, group, items, window, array, rank, low, high)
+
+
+def sorted_suffixes(words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """All places, sorted by the words from each to its item's end (a 0), and each place's rank, by doubling."""
+    n = len(words)
+    inside = words > 0
+    level = np.unique(words, return_inverse=True)[1].astype(np.int64)
+    left = np.flatnonzero(~inside)
+    size = (np.append(left, n)[np.searchsorted(left, np.arange(n))] - np.arange(n)) if n else np.zeros(0, np.int64)
+    width, array = 1, np.argsort(level, kind="stable")
+    while width <= (int(size.max()) if n else 0):
+        after = np.zeros(n, np.int64)
+        ahead = np.flatnonzero(size > width)
+        after[ahead] = level[ahead + width] + 1
+        array = np.lexsort((after, level))
+        step = (level[array[1:]] != level[array[:-1]]) | (after[array[1:]] != after[array[:-1]])
+        level = np.empty(n, np.int64)
+        level[array] = np.concatenate(([0], np.cumsum(step)))
+        width *= 2
+    rank = np.empty(n, np.int64)
+    rank[array] = np.arange(n)
+    return array, rank
 
 
 def suffix_array(words: np.ndarray, at: np.ndarray, depth: int, most: int) -> np.ndarray:
@@ -176,10 +232,10 @@ def _search_block(shared, depth: int, last: bool):
         np.add.at(mark, place, 1)
         np.add.at(mark, place + test.need[which], -1)
         hit = np.cumsum(mark[:-1]) > 0
-        pairs = np.unique((doc << 32) | test.item[which]) if len(doc) else np.zeros(0, np.int64)
+        pairs = np.unique((doc << 32) | test.group[which]) if len(doc) else np.zeros(0, np.int64)
         items: list[set[str]] = [set() for _ in range(n)]
         for p in pairs.tolist():
-            items[p >> 32].add(test.names[p & 0xFFFFFFFF])
+            items[p >> 32].update(test.names[k] for k in test.items[p & 0xFFFFFFFF].tolist())
         longest = _longest(shard, test, place, doc, which, n)
         if "spans" in rest.schema.names:  # what the blocks before found
             before = [rest.column(k).to_pylist() for k in ("spans", "items", "longest")]
@@ -213,18 +269,37 @@ def _search_block(shared, depth: int, last: bool):
 
 
 def _longest(shard: Shard, test: Suffixes, place: np.ndarray, doc: np.ndarray, which: np.ndarray, n: int) -> np.ndarray:
-    """Words of the longest verbatim match in each document: every window found is followed as far as both sides agree."""
+    """Words of the longest verbatim match in each document that holds a window.
+
+    A place's matches in the benchmark are an interval of its sorted suffixes, which each further word
+    narrows. A place whose interval is the one before's, moved on by a word, has the match before's less a word.
+    """
     out = np.zeros(n, np.int64)
-    a, b = place + test.need[which], test.start[which] + test.need[which]
-    length = test.need[which].copy()
-    live = np.arange(len(place))
+    if not len(place):
+        return out
+    np.maximum.at(out, doc, test.need[which])
+    whole = np.flatnonzero(test.need[which] == test.depth)
+    if not whole.size:
+        return out
+    at = np.argsort(place[whole], kind="stable")
+    p, d, w = place[whole][at], doc[whole][at], which[whole][at]
+    lo, hi = test.low[w], test.high[w]
+    follows = np.zeros(len(p), bool)
+    follows[1:] = (p[1:] == p[:-1] + 1) & (hi[1:] - lo[1:] == hi[:-1] - lo[:-1])
+    inside = test.rank[np.minimum(test.array[lo[:-1]] + 1, len(test.rank) - 1)]
+    follows[1:] &= (inside >= lo[1:]) & (inside < hi[1:])
+    p, d, lo, hi = p[~follows], d[~follows], lo[~follows], hi[~follows]
+    padded, depth = np.concatenate((test.words, [0])), test.depth
+    live = np.arange(len(p))
     while live.size:
-        x, y = shard.words[np.minimum(a[live], len(shard.words) - 1)], test.words[np.minimum(b[live], len(test.words) - 1)]
-        live = live[(x == y) & (x > 0) & (a[live] < len(shard.words)) & (b[live] < len(test.words))]
-        length[live] += 1
-        a[live] += 1
-        b[live] += 1
-    np.maximum.at(out, doc, length)
+        np.maximum.at(out, d[live], depth)
+        want = shard.words[np.minimum(p[live] + depth, len(shard.words) - 1)]
+        column = padded[np.minimum(test.array + depth, len(padded) - 1)]
+        a, b = _bound(column, lo[live], hi[live], want, False), _bound(column, lo[live], hi[live], want, True)
+        keep = (a < b) & (want > 0) & (p[live] + depth < len(shard.words))
+        live = live[keep]
+        lo[live], hi[live] = a[keep], b[keep]
+        depth += 1
     return out
 
 

@@ -103,6 +103,46 @@ def test_contamination(spark, monkeypatch, block):
     assert sorted(str(r["doc_id"]) for r in clean.collect()) == sorted(str(w[0]) for w in want if not w[5])
 
 
+def brute_longest(docs, bench, n=10):
+    word = re.compile("[^\x00-\x2f\x3a-\x60\x7b-\x7f]+")
+    items = [w for _, t in bench if (w := word.findall(lower(t or "")))]
+    out = []
+    for i, t in docs:
+        w, best = word.findall(lower(t or "")), 0
+        for x in items:
+            for a in range(len(w)):
+                for b in range(len(x)):
+                    k = 0
+                    while a + k < len(w) and b + k < len(x) and w[a + k] == x[b + k]:
+                        k += 1
+                    if k >= min(n, len(x)) and (k >= n or b == 0):
+                        best = max(best, k)
+        out.append((i, best))
+    return sorted(out, key=str)
+
+
+def test_longest_matches(spark):
+    rnd = random.Random(12)
+    head = prose(rnd, 12, 30)
+    bench = [(k, head + " " + prose(rnd, 20, 30)) for k in range(8)] + [(20, prose(rnd, 40, 3)), (21, "w1 w2 w1"), (22, prose(rnd, 30, 30)), (23, head)]
+    docs = [(k, prose(rnd, 9, 30) + " " + " ".join((bench[rnd.randrange(12)][1] or "").split()[rnd.randrange(3) : rnd.randrange(5, 40)]) + " " + prose(rnd, 9, 4)) for k in range(40)]
+    docs += [(50, bench[3][1]), (51, bench[3][1] + " " + bench[4][1]), (52, bench[8][1] * 2), (53, None), (54, "w1 w2 w1 w2 w1")]
+    got = contamination(frame(spark, docs), spark.createDataFrame(bench, "item_id long, text string"))
+    assert sorted([(r["doc_id"], r["longest"]) for r in got.collect()], key=str) == brute_longest(docs, bench)
+
+
+def test_shared_preambles(spark):
+    """1,000 items that begin alike, and many documents, one of them long, with that beginning."""
+    rnd = random.Random(13)
+    head = prose(rnd, 12, 1000)
+    bench = [(k, f"{head} item {k} {prose(rnd, 12, 1000)}") for k in range(1000)]
+    docs = [(k, f"{prose(rnd, 5, 1000)} {head} {prose(rnd, 5, 1000)}") for k in range(3000)] + [(9000, f"{head} x " * 30_000)]
+    got = {r["doc_id"]: r for r in contamination(frame(spark, docs), spark.createDataFrame(bench, "item_id long, text string")).collect()}
+    assert {r["n_items"] for r in got.values()} == {1000}
+    assert got[0]["n_hit"] == got[0]["longest"] == 12
+    assert got[9000]["n_hit"] == 360_000
+
+
 def test_empty_benchmark(spark):
     none = spark.createDataFrame([], "item_id long, text string")
     assert [r["contaminated"] for r in contamination(frame(spark, [(1, "a b c"), (2, None)]), none).collect()] == [False, False]
