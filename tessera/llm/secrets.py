@@ -15,7 +15,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import beside_texts
+from tessera.llm.common import beside_texts, free_name
 
 #: Alternatives that a derived query may have before the rule counts as one without mandatory trigrams.
 MOST_ALTERNATIVES = 64
@@ -179,24 +179,25 @@ def _named(k: int, kind: str):
     return lambda x: F.struct(x["start"].alias("start"), F.lit(k).alias("rule"), F.lit(kind).alias("kind"), x["end"].alias("end"))
 
 
-def scan(docs: DataFrame, rules: tuple[Rule, ...] = BASE + ADDED) -> DataFrame:
-    """Every row, all columns, with `_spans`: an array of (start, rule, kind, end) by start and then rule order.
+def scan(docs: DataFrame, rules: tuple[Rule, ...] = BASE + ADDED, name: str = "_spans") -> DataFrame:
+    """Every row, all columns, with a column `name`, which docs must not have: an array of (start, rule, kind, end) by start and then rule order.
 
     A null text counts as empty. Null and repeated ids are told apart by their text's hash, so equal rows
     get equal spans; an empty table gives no rows.
     """
     text = F.coalesce(F.col("text"), F.lit(""))
     base = docs.select(F.col("doc_id").alias("id"), F.xxhash64(text).alias("mark"), text.alias("text"))
-    found = beside_texts(_posting_keys(base, rules).toDF("_id", "_mark", "_kinds"))
-    first = docs.withColumn("_own", F.xxhash64(text)).join(found, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_own") == F.col("_mark")), "left")
+    id_, mark, kinds, own_mark = (free_name(docs, x) for x in ("found_id", "found_mark", "found_kinds", "own_mark"))
+    found = beside_texts(_posting_keys(base, rules).toDF(id_, mark, kinds))
+    first = docs.withColumn(own_mark, F.xxhash64(text)).join(found, F.col("doc_id").eqNullSafe(F.col(id_)) & (F.col(own_mark) == F.col(mark)), "left")
     none = F.expr("cast(array() as array<struct<start:int,end:int,size:int>>)")
     parts = []
     for k, rule in enumerate(rules):
         own = spans_of(text, rule)
         if trigram_query(rule.pattern) is not None:
-            own = F.when(F.array_contains("_kinds", rule.kind), own).otherwise(none)
+            own = F.when(F.array_contains(kinds, rule.kind), own).otherwise(none)
         parts.append(F.transform(own, _named(k, rule.kind)))
-    return first.withColumn("_spans", F.array_sort(F.flatten(F.array(*parts)))).drop("_own", "_id", "_mark", "_kinds")
+    return first.withColumn(name, F.array_sort(F.flatten(F.array(*parts)))).drop(own_mark, id_, mark, kinds)
 
 
 def _joined(spans: Column) -> Column:
@@ -230,8 +231,9 @@ def redacted_text(text: Column, spans: Column, mask: str = "[REDACTED]") -> Colu
 
 def redacted(docs: DataFrame, mask: str = "[REDACTED]") -> DataFrame:
     """The documents, all their columns, with every span masked in the text and n_chars, where there is one, of the new text. Null texts stay null."""
-    found = scan(docs)
-    found = found.withColumn("text", F.when(F.col("text").isNotNull(), redacted_text(F.col("text"), F.col("_spans"), mask)))
+    name = free_name(docs, "spans")
+    found = scan(docs, name=name)
+    found = found.withColumn("text", F.when(F.col("text").isNotNull(), redacted_text(F.col("text"), F.col(name), mask)))
     if "n_chars" in docs.columns:
-        found = found.withColumn("n_chars", F.when(F.size("_spans") > 0, F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars")))
+        found = found.withColumn("n_chars", F.when(F.size(name) > 0, F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars")))
     return found.select(*docs.columns)

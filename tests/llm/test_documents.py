@@ -421,6 +421,15 @@ def test_secrets(spark):
     assert secret_report(frame(spark, [])).count() == 0
 
 
+def test_redacted_keeps_clashing_columns(spark):
+    names = ["_id", "_mark", "_own", "_kinds", "_spans", "spans", "found_id", "Found_Mark", "own_mark", "found_kinds", "id", "low"]
+    df = spark.createDataFrame([(1, "token=abcdefgh x", *names), (None, None, *names)], "doc_id long, text string, " + ", ".join(f"{n} string" for n in names))
+    got = sorted(redacted(df).collect(), key=str)
+    assert redacted(df).columns == df.columns
+    assert [r["text"] for r in got] == ["[REDACTED] x", None]
+    assert all(r[n] == n for r in got for n in names)
+
+
 def test_trigram_queries():
     q = {r.kind: trigram_query(r.pattern) for r in secrets.BASE + secrets.ADDED}
     assert q["hex"] is None
