@@ -6,7 +6,8 @@ import pyarrow as pa
 import pytest
 
 from tessera.llm import bytelevel, textscan
-from tessera.llm.packing import Genome, crossed, pack, pack_documents, shaken
+from tessera.llm import packing
+from tessera.llm.packing import Genome, crossed, evolved, homes, pack_documents, settled, shaken, started
 from tessera.llm.queries import vocabulary
 from tessera.llm.token_counts import count_tokens
 from tessera.llm.token_store import Reader, Writer, read_store, stored_tokens, write_store
@@ -214,7 +215,56 @@ def test_genetic_steps_keep_documents(seed):
         assert all(sum(size[i] for i in x) == f <= 1000 for x, f in zip(child.bins, child.fill))
     plain = Genome(1000)
     plain.best_fit(list(range(300)), size)
-    assert len(pack(size, 1000, seed)) <= plain.count()
+    assert settled(homes(plain, 300), size, 1000).fitness() == plain.fitness()
+    people = evolved([plain, *started(size, 1000, rng)], size, rng)
+    assert all(sorted(i for b in g.bins for i in b) == list(range(300)) for g in people)
+    assert people[0].fitness() >= plain.fitness()
+
+
+def optimum(size, capacity):
+    """The fewest bins, by trying all."""
+    best = len(size)
+
+    def put(k, room):
+        nonlocal best
+        if len(room) >= best:
+            return
+        if k == len(size):
+            best = len(room)
+            return
+        for r in range(len(room)):
+            if room[r] >= size[k]:
+                put(k + 1, [*room[:r], room[r] - size[k], *room[r + 1 :]])
+        put(k + 1, [*room, capacity - size[k]])
+
+    put(0, [])
+    return best
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_islands(spark, seed):
+    rng = random.Random(seed)
+    blocks = {0: [31, 31, 31, 23, 23, 23, 23, 23, 23], 1: [rng.randint(20, 60) for _ in range(9)], 2: [rng.randint(200, 700) for _ in range(200)]}
+    rows, fitted = [], {}
+    for b, size in blocks.items():
+        g = Genome(100 if b < 2 else 1000)
+        g.best_fit(list(range(len(size))), size)
+        fitted[b] = g.count()
+    for capacity, some in ((100, (0, 1)), (1000, (2,))):
+        rows = []
+        for b in some:
+            g = Genome(capacity)
+            g.best_fit(list(range(len(blocks[b]))), blocks[b])
+            rows += [(b, i, blocks[b][i], k, True) for i, k in enumerate(homes(g, len(blocks[b])))]
+        found = {}
+        for r in packing._bred(spark.createDataFrame(rows, "block long, place int, length long, bin int, open boolean"), capacity).collect():
+            found.setdefault(r["block"], {})[r["place"]] = r["bin"]
+        for b in some:
+            assert sorted(found[b]) == list(range(len(blocks[b])))
+            g = settled([found[b][i] for i in range(len(blocks[b]))], blocks[b], capacity)
+            assert max(g.fill) <= capacity and g.count() <= fitted[b]
+            if capacity == 100:
+                assert g.count() == optimum(blocks[b], capacity)
 
 
 def test_blocks():
