@@ -497,7 +497,11 @@ def _(spark, sf):
     return tsv.load_source(spark, at, nrows=100)
 
 
-@query("R6")
+def md5_sql(text: str) -> str:
+    return f"('0x' || substr(md5({text}), 1, 15))::BIGINT"
+
+
+@query("R6", BASE + f"SELECT * FROM ent ORDER BY {md5_sql("entity_id || '/42'")}, entity_id LIMIT 500")
 def _(spark, sf):
     return SA.sample(raw_records(spark, sf), "entity_id", 500)
 
@@ -676,7 +680,7 @@ def _(spark, sf):
     return PL.training_pairs(*sides(spark, sf), truth(spark, sf))
 
 
-@query("M3")
+@query("M3", BASE + f"SELECT s1_id, target_id, ({md5_sql('s1_id')} % 5)::INT AS fold FROM pairs")
 def _(spark, sf):
     return SA.with_fold(pairs(spark, sf))
 
