@@ -48,7 +48,7 @@ STAGES = [
     ("packing", packing_stage),
 ]
 
-#: A fitted model, MinHash and a tokenizer are no SQL; tests hold each stage against a brute-force version.
+#: A fitted model, MinHash and a tokenizer are no SQL; tests hold each stage against its operator's report, the operators against brute force.
 ORACLE_SQL = None
 
 
