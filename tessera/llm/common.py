@@ -8,6 +8,7 @@ import shutil
 import tempfile
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -64,6 +65,13 @@ def beside_texts(narrow: DataFrame) -> DataFrame:
     return F.broadcast(narrow) if narrow.count() <= BROADCAST_ROWS else narrow
 
 
+def text_blocks(batch: pa.RecordBatch, limit: int):
+    """(first row, UTF-8 texts) of runs of about `limit` bytes of a batch's texts, of which only a run's are copied at a time. A null text is empty."""
+    texts = batch.column("text")
+    for first, n in textscan.cuts(pc.fill_null(pc.binary_length(texts), 0).to_pylist(), limit):
+        yield first, [b"" if t is None else t for t in texts.slice(first, n).cast(pa.large_binary()).to_pylist()]
+
+
 def over_texts(df: DataFrame, schema: str, work, limit: int = textscan.BLOCK_BYTES) -> DataFrame:
     """Run `work` over blocks of about `limit` bytes of text.
 
@@ -75,9 +83,8 @@ def over_texts(df: DataFrame, schema: str, work, limit: int = textscan.BLOCK_BYT
     def stage(batches):
         kinds = None
         for batch in batches:
-            texts = batch.column("text").cast(pa.large_binary()).to_pylist()
             rest = batch.select(others)
-            for first, parts in textscan.blocks(texts, limit):
+            for first, parts in text_blocks(batch, limit):
                 out = work(rest.slice(first, len(parts)), parts)
                 if out:
                     yield pa.RecordBatch.from_arrays([x if isinstance(x, pa.Array) else pa.array(x, kinds[k]) if kinds else pa.array(x) for k, x in enumerate(out.values())], names=list(out))
@@ -90,8 +97,7 @@ def kept_texts(df: DataFrame, keep, limit: int = textscan.BLOCK_BYTES) -> DataFr
 
     def stage(batches):
         for batch in batches:
-            texts = batch.column("text").cast(pa.large_binary()).to_pylist()
-            for first, parts in textscan.blocks(texts, limit):
+            for first, parts in text_blocks(batch, limit):
                 yield batch.slice(first, len(parts)).filter(pa.array(keep(parts), pa.bool_()))
 
     return df.mapInArrow(stage, df.schema)

@@ -14,7 +14,7 @@ from tessera.llm import textscan
 from tessera.llm.common import kept_texts, over_texts
 
 #: Bytes of training text under one suffix array, and of benchmark text searched in one pass.
-SHARD_BYTES, BENCHMARK_BYTES = 8 << 20, 4 << 20
+SHARD_BYTES, BENCHMARK_BYTES = 4 << 20, 4 << 20
 
 
 @dataclass
@@ -159,8 +159,11 @@ class Shard:
     """Texts of a shard as numbers of benchmark words, and the suffix array over them."""
 
     def __init__(self, parts: list[bytes], test: Suffixes, depth: int):
-        _, _, _, hashes, self.first = textscan.words(parts, textscan.ALNUM)
-        self.n = np.diff(self.first)
+        # a block of texts at a time, since finding words takes many times a text's bytes
+        some = [textscan.words(block, textscan.ALNUM)[3:] for _, block in textscan.blocks(parts)]
+        hashes = np.concatenate([h for h, _ in some]) if some else np.zeros(0, np.uint64)
+        self.n = np.concatenate([np.diff(first) for _, first in some]) if some else np.zeros(0, np.int64)
+        self.first = np.concatenate(([0], np.cumsum(self.n)))
         place = np.searchsorted(test.vocabulary, hashes)
         place[place == len(test.vocabulary)] = 0
         known = test.vocabulary[place] == hashes if len(test.vocabulary) else np.zeros(len(hashes), bool)

@@ -30,18 +30,23 @@ def mix64(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+def cuts(sizes: list[int], limit: int):
+    """Runs of texts of about `limit` bytes, one text at least: (first index, texts)."""
+    first = size = 0
+    for i, n in enumerate(sizes):
+        if i > first and size + n > limit:
+            yield first, i - first
+            first, size = i, 0
+        size += n
+    if len(sizes) > first:
+        yield first, len(sizes) - first
+
+
 def blocks(texts: list[bytes | str | None], limit: int = BLOCK_BYTES):
     """Cut a list of texts into runs of about `limit` bytes; yields (first index, UTF-8 texts). A null text is empty."""
-    first, held, size = 0, [], 0
-    for i, t in enumerate(texts):
-        b = b"" if t is None else t if isinstance(t, bytes) else t.encode()
-        if held and size + len(b) > limit:
-            yield first, held
-            first, held, size = i, [], 0
-        held.append(b)
-        size += len(b)
-    if held:
-        yield first, held
+    held = [b"" if t is None else t if isinstance(t, bytes) else t.encode() for t in texts]
+    for first, n in cuts([len(b) for b in held], limit):
+        yield first, held[first : first + n]
 
 
 def joined(parts: list[bytes], gap: bytes = b"\n") -> tuple[np.ndarray, np.ndarray, np.ndarray]:
