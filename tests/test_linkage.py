@@ -172,3 +172,65 @@ def test_entry_without_the_subpackage():
 
 def test_every_sql_has_its_query():
     assert set(entry.oracle_sql()) <= set(entry.queries())
+
+
+def brute_tfidf(mine, theirs, k, threshold, max_df, scoped=False):
+    """All pairs, one by one: (s1_id, target_id, score)."""
+    import math
+    from collections import Counter
+
+    def grams(text):
+        return Counter(p[i : i + n] for w in text.split() for p in [f" {w} "] for n in (2, 3, 4) for i in range(len(p) - n + 1))
+
+    df = Counter(g for _, t in mine for g in grams(t))
+    idf = {g: math.log((1 + len(mine)) / (1 + n)) + 1 for g, n in df.items() if 2 <= n <= max_df * len(mine)}
+
+    def vector(text):
+        v = {g: n * idf[g] for g, n in grams(text).items() if g in idf}
+        size = math.sqrt(sum(x * x for x in v.values()))
+        return {g: x / size for g, x in v.items()}
+
+    out = []
+    others = [(i, s, vector(t)) for i, t, s in theirs]
+    for a, t in mine:
+        v = vector(t)
+        found = [(-s, b, c) for b, c, w in others if (s := round(sum(x * w[g] for g, x in v.items() if g in w), 6)) >= threshold]
+        for c in ({f[2] for f in found} if scoped else {0}):
+            out += [(a, b, -s) for s, b, _ in sorted(f for f in found if not scoped or f[2] == c)[:k]]
+    return sorted(out)
+
+
+@pytest.mark.parametrize("scope", ["global", "source"])
+def test_tfidf_of_copies_in_small_blocks(spark, monkeypatch, scope):
+    """Many copies, words in another order included, are one class; the blocks of both sides are more than one."""
+    monkeypatch.setattr(TF, "LEFT", 3)
+    monkeypatch.setattr(TF, "RIGHT", 4)
+    monkeypatch.setattr(TF, "LEAST", 2)
+    names = ["acme steel works", "steel works acme", "blue bolt", "blue bolts", "red bolt nine", "nine acme", "works works", "x", ""]
+    mine = [(f"S1-{k:02}", names[k % 9]) for k in range(40)]
+    theirs = [(f"S2-{(k * 37) % 100:02}", names[(k * 5) % 9], 2 + k % 2) for k in range(60)]
+    s1 = spark.createDataFrame(mine, "entity_id string, business_name string")
+    t = spark.createDataFrame(theirs, "entity_id string, business_name string, source int")
+    assert TF.classes(s1, "business_name", [])[1].count() == 7
+    got = TF.block_tfidf(s1, t, "business_name", 4, 0.3, 0.6, scope=scope)
+    assert rows(got, "s1_id", "target_id", "score") == brute_tfidf(mine, theirs, 4, 0.3, 0.6, scope == "source")
+
+
+def test_tfidf_makes_no_row_for_each_pair_of_copies(spark):
+    """600 x 600 copies: the plan's joins make rows in proportion to the records."""
+    s1 = spark.range(600).selectExpr("concat('a', id) AS entity_id", "'acme steel works' AS business_name")
+    t = spark.range(600).selectExpr("concat('b', id) AS entity_id", "'acme steel works' AS business_name")
+    got = TF.block_tfidf(s1, t, "business_name", 5, 0.5, 1.0)
+    assert got.count() == 3000
+    most, todo = 0, [got._jdf.queryExecution().executedPlan()]
+    got._jdf.collectToPython()
+    while todo:
+        p = todo.pop()
+        if p.getClass().getSimpleName() == "AdaptiveSparkPlanExec":
+            p = p.executedPlan()
+        if p.getClass().getSimpleName().endswith("QueryStageExec"):
+            p = p.plan()
+        if p.metrics().contains("numOutputRows"):
+            most = max(most, p.metrics().apply("numOutputRows").value())
+        todo += [p.children().apply(k) for k in range(p.children().size())]
+    assert 0 < most <= 20_000
