@@ -234,3 +234,60 @@ def test_tfidf_makes_no_row_for_each_pair_of_copies(spark):
             most = max(most, p.metrics().apply("numOutputRows").value())
         todo += [p.children().apply(k) for k in range(p.children().size())]
     assert 0 < most <= 20_000
+
+
+def made_up(n):
+    import numpy as np
+
+    g = np.random.default_rng(7)
+    x = [g.integers(0, 50, n) / 50 for _ in range(6)]
+    return x, ((x[0] > 0.5) ^ (x[1] > 0.3)).astype("int8"), np.arange(n)
+
+
+def test_trees_do_not_depend_on_how_rows_are_dealt():
+    import threading
+
+    import numpy as np
+
+    from tessera.plans import trees as T
+
+    x, y, key = made_up(3000)
+    settings = M.TreeSettings(rounds=12)
+    alone = T.grown(x, y, key, settings, lambda a: [a], lambda a: a)
+    assert ((alone.probabilities(x) > 0.5) == y).mean() > 0.98
+    meet, given, found = threading.Barrier(3), [None] * 3, [None] * 3
+
+    def task(k):
+        def gather(a):
+            given[k] = T.unpacked(T.packed(a))
+            meet.wait()
+            out = list(given)
+            meet.wait()
+            return out
+
+        part = np.flatnonzero(key % 5 == k) if k < 2 else np.flatnonzero(key % 5 > 1)
+        found[k] = T.grown([c[part] for c in x], y[part], key[part], settings, gather, lambda a: sum(gather(a)))
+
+    tasks = [threading.Thread(target=task, args=(k,)) for k in range(3)]
+    [t.start() for t in tasks]
+    [t.join(60) for t in tasks]
+    assert [f.text() for f in found] == [alone.text()] * 3
+    assert T.Trees.of(alone.text()).probabilities(x).tolist() == alone.probabilities(x).tolist()
+
+
+def test_all_rounds_are_a_few_jobs(spark, monkeypatch):
+    """100 rounds of depth 6 were some 700 jobs."""
+    x, y, key = made_up(2000)
+    at = [FE.COLUMNS.index(c) for c in FE.COLUMNS[:6]]
+    monkeypatch.setattr("tessera.plans.trees.TASK_ROWS", 500)
+    df = spark.createDataFrame([(f"a{k}", f"b{k}", int(y[k]), *[float(x[c][k]) if c in at else 0.0 for c in range(28)]) for k in range(2000)], ["s1_id", "target_id", "label", *FE.COLUMNS])
+    spark.sparkContext.setJobGroup("trees", "")
+    model = M.MatchModel(M.fit(df, M.TreeSettings()))
+    spark.sparkContext.setJobGroup("others", "")
+    assert len(spark.sparkContext.statusTracker().getJobIdsForGroup("trees")) <= 6
+    assert len(model.model.trees) == 100
+    right = model.probabilities(df).where("(probability >= 0.5) = (label = 1)").count()
+    assert right > 1980
+    shares = {r["feature"]: r["importance"] for r in model.importances().collect()}
+    assert sum(shares.values()) == pytest.approx(1)
+    assert set(sorted(shares, key=shares.get)[-2:]) == set(FE.COLUMNS[:2])
