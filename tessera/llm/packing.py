@@ -15,7 +15,7 @@ from tessera.llm.bytelevel import encoder
 from tessera.llm.common import checkpointed, over_texts
 
 #: Pieces of a block, its islands, genomes on each, epochs, and crossovers of an epoch, which a migration ends.
-TASK_PIECES, ISLANDS, GENOMES, EPOCHS, EPOCH = 4_096, 2, 4, 3, 4
+TASK_PIECES, ISLANDS, GENOMES, EPOCHS, EPOCH = 4_096, 2, 8, 3, 16
 #: Islands that one task evolves at most, at about 80 KB each.
 TASK_ISLANDS = 256
 

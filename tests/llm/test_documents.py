@@ -504,3 +504,19 @@ def test_likeness_of_long_texts(spark):
     for r in df.select("n", "kept", likeness(a, b).alias("there"), likeness(b, a).alias("back")).collect():
         assert abs(r["there"] - (1 - (r["n"] - r["kept"]) / (r["n"] + r["kept"]))) < 0.15
         assert abs(r["back"] - r["there"]) < 1e-9
+
+
+def test_an_epoch_crosses_more_often_than_it_has_genomes(monkeypatch):
+    """No two of these items share a bin, so no island may rest: each epoch makes all its children."""
+    import random
+
+    from tessera.llm import packing as P
+
+    made, real = [], P.crossed
+    monkeypatch.setattr(P, "crossed", lambda *a: made.append(1) or real(*a))
+    size, rng = [600] * 12, random.Random(1)
+    people = P.started(size, 1024, rng)
+    kept = P.evolved(people, size, rng)
+    assert len(people) == len(kept) == P.GENOMES >= 8
+    assert len(made) == P.EPOCH >= 2 * P.GENOMES
+    assert sorted(i for b in kept[0].bins for i in b) == list(range(12))
