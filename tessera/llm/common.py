@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import gc
 import re
 import shutil
 import tempfile
@@ -41,6 +42,12 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def swept(spark: SparkSession) -> None:
+    """Let Spark remove shuffle files and checkpoints that nothing refers to; it does so when the driver collects its garbage, which else may be much later."""
+    gc.collect()
+    spark._jvm.System.gc()
+
+
 def free_name(df: DataFrame, name: str) -> str:
     """The name, or one made of it, that no column of df has, in whatever case."""
     taken = {c.lower() for c in df.columns}

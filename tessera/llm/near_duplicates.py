@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.llm import textscan
-from tessera.llm.common import BROADCAST_ROWS, beside_texts, checkpointed, free_name, over_texts
+from tessera.llm.common import BROADCAST_ROWS, beside_texts, checkpointed, free_name, over_texts, swept
 from tessera.llm.components import components
 
 #: Words of a shingle; bands and rows of a band. A pair of Jaccard similarity 0.75 shares no band once in 50,000.
@@ -181,12 +181,15 @@ def _linked(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
         links = fresh if links is None else links.unionByName(fresh)
         labels = checkpointed(components(links))
         members = met.where("key <> lead").drop("lead", "hit")
+        swept(members.sparkSession)
     placed = _placed(members, labels)
     opened = checkpointed(_open(placed, ROUNDS).select("open_band", F.col("y.root").alias("main")))
     left = checkpointed(placed.join(opened, F.col("band") == F.col("open_band")))
     known = sets.select("key", "shingles").join(left.select("key").distinct(), "key", "left_semi").mapInArrow(_fine, "key binary, fine array<long>")
     open_bands = left.groupBy("key").agg(F.sort_array(F.collect_list("band")).alias("bands"))
     rest = checkpointed(left.join(known.join(open_bands, "key"), "key").drop("open_band"))
+    del placed, opened, left, known, open_bands, members
+    swept(rest.sparkSession)
     # every node outside the bucket's main component against all of the bucket's other components
     x, y = rest.where("root <> main").alias("x"), rest.alias("y")
     # a pair comes out of the first open bucket that it shares only
@@ -245,7 +248,10 @@ def near_duplicates(docs: DataFrame, percent: int = 75) -> DataFrame:
     wanted = source.join(beside_texts(met.toDF("m_id", "m_mark")), F.col("doc_id").eqNullSafe(F.col("m_id")) & (F.col("mark") == F.col("m_mark")), "left_semi")
     sets = checkpointed(over_texts(wanted.select("text"), "key binary, shingles array<long>, sketch array<long>", _sets).dropDuplicates(["key"]))
     sketched = checkpointed(members.join(sets.select("key", F.size("shingles").alias("n"), "sketch"), "key"))
+    del members, met, wanted, banded, shared
+    swept(docs.sparkSession)
     labels = _linked(sketched, sets, percent)
+    swept(docs.sparkSession)
     placed = nodes.select("key", "n", "rep").join(labels.withColumnRenamed("node", "key"), "key")
     ids = placed.groupBy("root").agg(F.min("rep").alias("component_id"))
     joined = placed.join(beside_texts(ids), "root").select("key", "n", "component_id")
@@ -258,6 +264,7 @@ def near_duplicates(docs: DataFrame, percent: int = 75) -> DataFrame:
 def deduplicated(docs: DataFrame, percent: int = 75) -> DataFrame:
     """The documents, all their columns, that are the least id of their group; see `near_duplicates`. Rows that share both the id and the group stay together."""
     found = checkpointed(near_duplicates(docs, percent).select("doc_id", "kept"))
+    swept(docs.sparkSession)
     name = free_name(docs, "gone")
     kept = found.where("kept").select("doc_id").distinct().withColumnRenamed("doc_id", "stays")
     gone = found.where("not kept").select(F.col("doc_id").alias(name)).distinct()
