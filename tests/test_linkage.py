@@ -236,6 +236,70 @@ def test_tfidf_makes_no_row_for_each_pair_of_copies(spark):
     assert 0 < most <= 20_000
 
 
+def most_rows(df):
+    """The most rows that an operator of the plan makes."""
+    most, todo = 0, [df._jdf.queryExecution().executedPlan()]
+    df._jdf.collectToPython()
+    while todo:
+        p = todo.pop()
+        if p.getClass().getSimpleName() == "AdaptiveSparkPlanExec":
+            p = p.executedPlan()
+        if p.getClass().getSimpleName().endswith("QueryStageExec"):
+            p = p.plan()
+        if p.metrics().contains("numOutputRows"):
+            most = max(most, p.metrics().apply("numOutputRows").value())
+        todo += [p.children().apply(k) for k in range(p.children().size())]
+    return most
+
+
+def test_token_overlap_makes_no_row_for_each_pair_of_names(spark):
+    """400 x 400 different names with three words in common; before, a join made 160,000 rows of them."""
+    s1 = spark.range(400).selectExpr("concat('a', id) AS entity_id", "concat('acme steel works x', id) AS business_name")
+    t = spark.range(400).selectExpr("concat('b', id) AS entity_id", "concat('works steel acme y', id) AS business_name")
+    got = B.block_token_overlap(s1, t, "business_name", 2, 5)
+    assert rows(got, "s1_id", "target_id") == sorted((f"a{k}", b) for k in range(400) for b in ("b0", "b1", "b10", "b100", "b101"))
+    assert 0 < most_rows(got) <= 20_000
+
+
+@pytest.mark.parametrize("most", [5000, 20])
+def test_token_overlap_in_small_blocks(spark, monkeypatch, most):
+    monkeypatch.setattr(TF, "LEFT", 3)
+    monkeypatch.setattr(TF, "RIGHT", 4)
+    monkeypatch.setattr(TF, "LEAST", 2)
+    names = ["acme steel works", "steel works acme acme", "blue bolt", "blue bolts of acme", "red bolt nine", "nine acme", "red red", "x", "", None]
+    mine = [(f"S1-{k:02}", names[k % 10]) for k in range(40)]
+    theirs = [(f"S2-{(k * 37) % 100:02}", names[(k * 3) % 10]) for k in range(60)]
+    sides = [spark.createDataFrame(x, "entity_id string, business_name string") for x in (mine, theirs)]
+    own = lambda text: {w for w in (text or "").split() if len(w) > 2}
+    rare = {w for _, t in theirs for w in own(t) if sum(w in own(x) for _, x in theirs) <= most}
+    want = []
+    for a, x in mine:
+        near = sorted((-n, b) for b, y in theirs if (n := len(own(x) & own(y) & rare)) >= 1)[:4]
+        want += [(a, b) for _, b in near]
+    assert rows(B.block_token_overlap(*sides, "business_name", 1, 4, most), "s1_id", "target_id") == sorted(want)
+
+
+def test_strategies_are_worked_once_for_equal_records(spark, monkeypatch):
+    """30 copies of two records of source 1 go to the strategies as two, with the weights of 30, and all of them come back."""
+    s1 = records(spark, [(f"a{k:02}", n, x, "") for k in range(30) for n, x in [("acme steel works" if k % 2 else "blue bolt", "12 main street" if k % 2 else None)]] + [("c", "other thing", "", "")])
+    t = records(spark, [("b1", "acme steel works", "12 main street", ""), ("b2", "blue bolt", "", ""), ("b3", "acme steel thing", "12 side street", "")])
+    given, whole = [], B.block_exact
+    monkeypatch.setattr(B, "block_exact", lambda few, *a: given.append(rows(few, "entity_id", "n")) or whole(few, *a))
+    got = rows(B.block_multi_strategy(s1, t, max_df=1.0), "s1_id", "target_id", "strategies")
+    assert given == [[("a00", 15), ("a01", 15), ("c", 1)]]
+    assert got == sorted(x for k in range(30) for x in ([(f"a{k:02}", "b1", ["exact_name", "tfidf_address", "tfidf_name", "token_overlap"]), (f"a{k:02}", "b3", ["tfidf_address", "tfidf_name", "token_overlap"])] if k % 2 else [(f"a{k:02}", "b2", ["exact_name", "tfidf_name", "token_overlap"])]))
+
+
+def test_sample_sorts_few_rows(spark):
+    """All rows are the frame itself; a part is that of a whole sort, of which only rows about the cut are sorted."""
+    df = spark.range(20_000).selectExpr("concat('k', id) AS id")
+    assert SA.sample(df, "id", 20_000) is df
+    got = SA.sample(df, "id", 7_000)
+    assert rows(got, "id") == rows(df.orderBy(SA.hashed(F.concat("id", F.lit("/42"))), "id").limit(7_000), "id")
+    plan = got._jdf.queryExecution().toString()
+    assert int(plan.split("TakeOrderedAndProject(limit=")[1].split(",")[0]) < 100
+
+
 def made_up(n):
     import numpy as np
 
