@@ -252,6 +252,34 @@ def most_rows(df):
     return most
 
 
+def shuffled_rows(df):
+    """The most rows that an exchange of the plan writes."""
+    most, todo = 0, [df._jdf.queryExecution().executedPlan()]
+    df._jdf.collectToPython()
+    while todo:
+        p = todo.pop()
+        if p.getClass().getSimpleName() == "AdaptiveSparkPlanExec":
+            p = p.executedPlan()
+        if p.getClass().getSimpleName().endswith("QueryStageExec"):
+            p = p.plan()
+        if p.metrics().contains("shuffleRecordsWritten"):
+            most = max(most, p.metrics().apply("shuffleRecordsWritten").value())
+        todo += [p.children().apply(k) for k in range(p.children().size())]
+    return most
+
+
+def test_exact_shuffles_records_not_pairs(spark):
+    """200 x 300 copies, repeated rows, and ids of several names that meet more than once; before, all 60,000 pairs were shuffled."""
+    names = lambda df, *more: df.unionByName(spark.createDataFrame(list(more), "entity_id string, business_name string"))
+    s1 = names(spark.range(200).selectExpr("concat('a', id) AS entity_id", "'acme steel' AS business_name"), ("a0", "acme steel"), ("a1", "blue bolt"), ("a2", "only"), (None, "blue bolt"))
+    t = names(spark.range(300).selectExpr("concat('b', id) AS entity_id", "'acme steel' AS business_name"), ("b0", "acme steel"), ("b1", "blue bolt"), ("b2", "only"), ("b3", "rest"), ("b4", None), ("b5", " "))
+    got = B.block_exact(s1, t, "business_name")
+    pairs = [(r["s1_id"], r["target_id"]) for r in got.collect()]
+    assert len(pairs) == 60_001
+    assert set(pairs) == {(f"a{i}", f"b{k}") for i in range(200) for k in range(300)} | {(None, "b1")}
+    assert 0 < shuffled_rows(got) <= 2_000
+
+
 def test_token_overlap_makes_no_row_for_each_pair_of_names(spark):
     """400 x 400 different names with three words in common; before, a join made 160,000 rows of them."""
     s1 = spark.range(400).selectExpr("concat('a', id) AS entity_id", "concat('acme steel works x', id) AS business_name")
