@@ -187,6 +187,7 @@ def _fitted(capacity: int):
     """Best fit of a block: each piece with its place in the block, its bin, and whether fewer bins may be possible."""
 
     def deal(rows: pd.DataFrame) -> pd.DataFrame:
+        encoder.cache_clear()  # all texts are encoded by now
         rows = rows.sort_values(["length", "ids_crc32", "doc_id", "piece"]).reset_index(drop=True)
         size = rows["length"].tolist()
         g = Genome(capacity)
@@ -197,12 +198,13 @@ def _fitted(capacity: int):
 
 
 def _epoch(capacity: int, epoch: int):
-    """An epoch of each island of a batch; its genomes arrive as bins of the block's pieces."""
+    """An epoch of each island of a batch, one island in memory at a time; its genomes arrive as bins of the block's pieces."""
 
     def run(batches):
+        encoder.cache_clear()  # all texts are encoded by now
         for batch in batches:
-            out = batch.to_pylist()
-            for row in out:
+            for k in range(batch.num_rows):
+                row = batch.slice(k, 1).to_pylist()[0]
                 size = row["size"]
                 rng = random.Random(f"{row['block']} {row['island']} {epoch}")
                 people = [settled(h, size, capacity) for h in sorted(row["genomes"])]
@@ -211,7 +213,7 @@ def _epoch(capacity: int, epoch: int):
                 people = evolved(people, size, rng)
                 row["genomes"] = [homes(g, len(size)) for g in people]
                 row["bins"], row["squares"] = people[0].count(), people[0].fitness()[1]
-            yield pa.RecordBatch.from_pylist(out, schema=ISLAND)
+                yield pa.RecordBatch.from_pylist([row], schema=ISLAND)
 
     return run
 
@@ -226,8 +228,8 @@ def _bred(fitted: DataFrame, capacity: int) -> DataFrame:
     epoch, a written round, the elite of each goes to the next island of its block.
     """
     opened = fitted.where("open").groupBy("block").agg(F.sort_array(F.collect_list(F.struct("place", "length", "bin"))).alias("own"))
-    state = checkpointed(opened.select("block", F.col("own.length").alias("size"), F.array(F.col("own.bin")).alias("genomes")))
-    rows = state.count() * ISLANDS
+    state = opened.select("block", F.col("own.length").alias("size"), F.array(F.col("own.bin")).alias("genomes"))
+    rows = fitted.where("open").select("block").distinct().count() * ISLANDS
     tasks = max(1, -(-rows // TASK_ISLANDS), min(rows, fitted.sparkSession.sparkContext.defaultParallelism))
     schema = "block long, island int, size array<long>, genomes array<array<int>>, bins int, squares long"
     state = state.withColumn("island", F.explode(F.array(*map(F.lit, range(ISLANDS)))))

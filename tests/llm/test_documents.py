@@ -520,3 +520,37 @@ def test_an_epoch_crosses_more_often_than_it_has_genomes(monkeypatch):
     assert len(people) == len(kept) == P.GENOMES >= 8
     assert len(made) == P.EPOCH >= 2 * P.GENOMES
     assert sorted(i for b in kept[0].bins for i in b) == list(range(12))
+
+
+def test_an_epoch_holds_one_island_at_a_time():
+    """40 islands that rest; before, all of a batch were Python lists at once."""
+    import tracemalloc
+
+    import pyarrow as pa
+
+    from tessera.llm import packing as P
+
+    n, count = 2_000, 40
+    home = pa.array([list(range(n))] * P.GENOMES, pa.list_(pa.int32()))
+    row = {"block": 1, "island": 0, "size": [1024] * n, "genomes": home.to_pylist(), "bins": 0, "squares": 0}
+    batch = pa.RecordBatch.from_pylist([row | {"block": k} for k in range(count)], schema=P.ISLAND)
+
+    def most(rows):
+        tracemalloc.start()
+        out = [(x.num_rows, x.column("block")[0].as_py(), x.column("bins")[0].as_py()) for x in P._epoch(1024, 1)(iter([batch.slice(0, rows)]))]
+        high = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        assert out == [(1, k, n) for k in range(rows)]
+        return high
+
+    assert most(count) < 2 * most(1)
+
+
+def test_packing_lets_the_tokenizer_go():
+    from tessera.llm import packing as P
+    from tessera.llm.queries import vocabulary
+
+    P.encoder(vocabulary())
+    assert P.encoder.cache_info().currsize
+    list(P._epoch(1024, 0)(iter([])))
+    assert not P.encoder.cache_info().currsize
