@@ -1,6 +1,7 @@
 import glob
 import subprocess
 import sys
+from collections import Counter
 from pathlib import Path
 
 import duckdb
@@ -252,6 +253,34 @@ def most_rows(df):
     return most
 
 
+@pytest.mark.parametrize("held", [0, 64 << 20])
+def test_common_words_are_multiplied_once(monkeypatch, held):
+    """400 x 900 names of three common words and one of their own, repeats included; before, all postings of a name were added up for each name."""
+    import numpy as np
+    import pyarrow as pa
+
+    names = lambda k, s: " ".join(sorted(["steel"] * (1 + k % 2) + ["acme", f"works{k % 3}", f"{s}{k}"]))
+    mine, theirs = [names(k, "x") for k in range(400)], [names(k, "y") for k in range(900)]
+    count = Counter(g for n in mine + theirs for w in n.split(" ") for g in set(TF.grams_of(w)))
+    known = {g: k for k, g in enumerate(sorted(count))}
+    idf = np.array([1 + np.log(2_000 / count[g]) for g in known])
+    added, real = [], np.bincount
+    monkeypatch.setattr(TF, "HELD", held)
+    table = pa.table({"mine": [True] * 400 + [False] * 900, "words": mine + theirs, "first": [None] * 400 + [f"{k:04}" for k in range(900)]})
+    vectors = lambda others, words: (TF._matrix(others, known, idf), *TF._by_word(words, known, idf), len(idf))
+    work = TF._nearest(vectors, 5, 0.3, [])
+    monkeypatch.setattr(np, "bincount", lambda x, *a, **b: added.append(len(x)) or real(x, *a, **b))
+    got = [tuple(r.values()) for r in work(table).to_pylist()]
+    monkeypatch.undo()
+    dense = np.zeros((1_300, len(idf)))
+    row, gram, weight = TF._matrix(mine + theirs, known, idf)
+    dense[row, gram] = weight
+    score = np.floor(dense[:400] @ dense[400:].T * 1e6 + 0.5) / 1e6
+    best = [(mine[i], theirs[k], f"{k:04}", score[i, k]) for i in range(400) for k in sorted(range(900), key=lambda k: (-score[i, k], k))[:5] if score[i, k] >= 0.3]
+    assert got == best
+    assert not held or sum(added) < 1_000_000
+
+
 def shuffled_rows(df):
     """The most rows that an exchange of the plan writes."""
     most, todo = 0, [df._jdf.queryExecution().executedPlan()]
